@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableshift.session import cut_lineage
+from tableshift.session import cut_lineage, work_folder
 
 
 def reach(seeds: DataFrame, edges: DataFrame, node: str, labels: Sequence[str] = (), max_rounds: int = 1000) -> DataFrame:
@@ -17,14 +17,17 @@ def reach(seeds: DataFrame, edges: DataFrame, node: str, labels: Sequence[str] =
     loops cost nothing extra.
     """
     columns = [node, *labels]
-    found = frontier = cut_lineage(seeds.select(*columns).distinct())
-    for _ in range(max_rounds):
+    spark = seeds.sparkSession
+    edges = cut_lineage(edges)
+    folder = work_folder(spark, "reach")
+    frontier = cut_lineage(seeds.select(*columns).distinct(), f"{folder}/round=0")
+    for number in range(1, max_rounds + 1):
+        found = spark.read.schema(frontier.schema).option("recursiveFileLookup", "true").parquet(folder)
         step = (edges.join(frontier.withColumnRenamed(node, "source"), "source")
                 .select(F.col("target").alias(node), *labels).distinct())
-        frontier = cut_lineage(step.join(found, columns, "left_anti"))
+        frontier = cut_lineage(step.join(found, columns, "left_anti"), f"{folder}/round={number}")
         if frontier.isEmpty():
             return found
-        found = cut_lineage(found.unionByName(frontier))
     raise RuntimeError(f"not finished after {max_rounds} rounds")
 
 

@@ -1 +1,141 @@
-"""To come."""
+"""Checks: records, reruns, dependencies, verdicts, the gate before a switch, and reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tableshift.operators import checks, compare, mutate
+from tableshift.plans import verify
+from tableshift.queries import sqltext as q
+from tableshift.queries.registry import query
+from tableshift.sources import fixtures as fx
+from tableshift.sources.sides import Side, tagged_union
+
+_STATUS = "case event_type when 'error' then 'fail' when 'purchase' then 'warn' when 'signup' then 'skip' else 'pass' end"
+_RUNS = f"(select user_id as \"check\", {_STATUS} as status, props as detail, event_id as ord from events)"
+
+
+def _runs(t):
+    """Every event is one run of the check named by its user."""
+    return t["events"].select(F.col("user_id").alias("check"), F.expr(_STATUS).alias("status"),
+                              F.col("props").alias("detail"), F.col("event_id").alias("ord"))
+
+
+@query(f"""select "check", arg_max(status, ord) as status, arg_max(detail, ord) as detail, max(ord) as ord from {_RUNS} group by 1""")
+def latest_results(t):
+    return checks.latest_results(_runs(t))
+
+
+@query(f"""
+select "check" % 3 as "database", count_if(status = 'pass') as n_pass, count_if(status = 'warn') as n_warn,
+       count_if(status = 'fail') as n_fail, count_if(status = 'skip') as n_skip from {_RUNS} group by 1""")
+def status_counts(t):
+    return checks.status_counts(_runs(t).withColumn("database", F.col("check") % 3), ["database"])
+
+
+@query(f"""
+select *, case when n_fail > 0 then 'not ready' when n_warn > 0 then 'ready with notes' else 'ready' end as verdict from (
+  select "check" // 5 as "database", count_if(status = 'pass') as n_pass, count_if(status = 'warn') as n_warn,
+         count_if(status = 'fail') as n_fail, count_if(status = 'skip') as n_skip
+  from (select "check", arg_max(status, ord) as status from {_RUNS} group by 1) group by 1)""")
+def verdict(t):
+    """The verdict of each group of five checks, from their newest runs."""
+    latest = checks.latest_results(_runs(t)).withColumn("database", F.floor(F.col("check") / 5))
+    return checks.verdict(latest, ["database"])
+
+
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(f"""
+select conv_id || '/' || turn as "check", case role when 'user' then 'fail' when 'system' then 'warn' else 'pass' end as status,
+       left(trim(regexp_replace(text, '{_SPACE}', ' ', 'g'), ' '), 500) as detail,
+       case when role in ('user', 'system') then 'ask ' || role else '' end as fix from conversations""")
+def check_results(t):
+    """Every message is the outcome of one check."""
+    results = t["conversations"].select(
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("check"),
+        F.when(F.col("role") == "user", "fail").when(F.col("role") == "system", "warn").otherwise("pass").alias("status"),
+        F.col("text").alias("detail"), F.concat(F.lit("ask "), "role").alias("fix"))
+    return checks.records(results)
+
+
+_OUTCOME = "case when c_acctbal < -960 then 'fail' when c_acctbal < -920 then 'warn' else 'pass' end"
+_NEEDS = """(select c_custkey as k, c_custkey // 2 as needed from customer where c_custkey > 0
+             union select c_custkey, c_custkey // 3 from customer where c_custkey > 0
+             union select c_custkey, -1 - c_custkey from customer where c_acctbal > 9950)"""
+
+
+@query(f"""
+with recursive outcome as (select c_custkey as k, {_OUTCOME} as status from customer),
+bad as (
+  select k from outcome where status <> 'pass'
+  union select needed from {_NEEDS} n where needed not in (select k from outcome)
+  union select n.k from {_NEEDS} n join bad on n.needed = bad.k),
+unmet as (select k, 'needs: ' || string_agg(cast(needed as varchar), ', ' order by cast(needed as varchar)) as detail
+          from {_NEEDS} where needed in (select k from bad) group by 1)
+select o.k as "check", case when detail is not null then 'skip' else status end as status, coalesce(detail, '') as detail
+from outcome o left join unmet u on u.k = o.k""")
+def dependency_skips(t):
+    """Every customer is a check that needs those at half and a third of its key; some need one that never ran."""
+    key, people = F.col("c_custkey"), t["customer"]
+    outcomes = people.select(key.alias("check"), F.expr(_OUTCOME).alias("status"))
+    needs = (people.filter(key > 0).select(key.alias("check"), F.floor(key / 2).alias("needed"))
+             .union(people.filter(key > 0).select(key.alias("check"), F.floor(key / 3).alias("needed")))
+             .union(people.filter("c_acctbal > 9950").select(key.alias("check"), (-1 - key).alias("needed"))))
+    return checks.with_skips(outcomes, needs)
+
+
+_GATE_NAMES = ("schema and tables identical", "watermark matches", "sequences carried over",
+               "migration history carried over", "reader can read every table", "sync current or unused", "smoke test")
+
+
+def _gate(t, new: Side):
+    name = F.concat(F.lit("status_"), "o_orderstatus").alias("sequence")
+    old = Side.of("old", {"sales": {"customer": t["customer"], "orders": t["orders"]}})
+
+    def sequence(side):
+        return side.table("sales", "orders").groupBy(name).agg(F.max("o_orderkey").alias("last_value"))
+    seqs = compare.sequence_compare(sequence(old), sequence(new).withColumn("newest_id", F.col("last_value")))
+    ledger = new.table("sales", "orders").select(F.max(F.left("o_orderpriority", F.lit(1)).cast("int")))
+    access = new.table("sales", "customer").select(F.col("c_acctbal").isNotNull().alias("can_read"))
+    probe = (t["region"].select((-1 - F.col("r_regionkey")).cast("bigint").alias("o_orderkey"),
+                                *[F.lit(None).cast(f.dataType).alias(f.name) for f in t["orders"].schema.fields[1:]]))
+    return verify.cutover_gate(old, new, watermarks={("sales", "orders"): "o_orderkey"}, sequences=seqs,
+                               ledger_newest=ledger, expected_version=5, access=access, sync=None,
+                               smoke=mutate.smoke_write(new.table("sales", "orders"), probe, ["o_orderkey"]))
+
+
+def _gate_sql(side: str, orders: str, customer: str) -> str:
+    same = " and ".join(f"not exists ((select * from {a} except all select * from {b}) union all "
+                        f"(select * from {b} except all select * from {a}))" for a, b in (("orders", orders), ("customer", customer)))
+    marks = f"(select (max(o_orderkey), count(*)) from orders) = (select (max(o_orderkey), count(*)) from {orders})"
+    seqs = (f"not exists (select 1 from (select o_orderstatus as s, max(o_orderkey) as m from orders group by 1) a full join "
+            f"(select o_orderstatus as s, max(o_orderkey) as m from {orders} group by 1) b using (s) where a.m is distinct from b.m)")
+    ledger = f"(select max(cast(left(o_orderpriority, 1) as int)) from {orders}) = 5"
+    access = f"(select bool_and(c_acctbal is not null) from {customer})"
+    conditions = (same, marks, seqs, ledger, access, "true", "true")
+    return " union all ".join(f"select '{side}' as side, '{n}' as \"check\", {c} as passed" for n, c in zip(_GATE_NAMES, conditions))
+
+
+@query(_gate_sql("clean", "orders", "customer") + " union all " + _gate_sql("drifted", q.DRIFTED_ORDERS, q.DRIFTED_CUSTOMER))
+def cutover_gate(t):
+    """The seven conditions against a faithful copy and against a drifted one."""
+    clean = Side.of("clean", {"sales": {"customer": t["customer"], "orders": t["orders"]}})
+    drifted = Side.of("drifted", {"sales": {"customer": fx.drifted_customer(t), "orders": fx.drifted_orders(t)}})
+    return tagged_union({"clean": _gate(t, clean), "drifted": _gate(t, drifted)}, tag="side")
+
+
+@query(f"""
+select "check", '{{"check":"' || "check" || '","status":"' || status || '","detail":' || to_json(detail) || ',"fix":"run ' || "check" || '"}}'
+         as document, status as status_back, detail as detail_back
+from (select cast("check" as varchar) as "check", arg_max(status, ord) as status, arg_max(detail, ord) as detail from {_RUNS} group by 1)""")
+def report_json(t):
+    """The newest result of every check as JSON, and what reading it back gives."""
+    latest = checks.latest_results(_runs(t)).select(
+        F.col("check").cast("string").alias("check"), "status", "detail",
+        F.concat(F.lit("run "), F.col("check").cast("string")).alias("fix"))
+    lines = checks.report_lines(latest)
+    parsed = F.from_json("document", "check string, status string, detail string, fix string")
+    return lines.withColumn("r", parsed).select("check", "document", F.col("r.status").alias("status_back"),
+                                                F.col("r.detail").alias("detail_back"))

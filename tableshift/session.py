@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,7 +49,12 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tableshift/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Write a frame to the shared folder and read it back, so that a lost executor loses nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: a lost executor loses nothing, and the plan starts afresh.
+
+    A written table is used because a checkpointed frame keeps the constraints of the plan it came from, which grow
+    with every round of a loop.
+    """
+    path = path or work_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
