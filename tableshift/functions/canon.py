@@ -1,7 +1,7 @@
 """Canonical text of a row, and the digests built on it.
 
-A row's text lists its columns in order, joined by ``|``. NULL is written ``n`` and a value ``v<text>``, so NULL never
-looks like an empty string; ``\\`` and ``|`` inside strings are escaped, so shifted text cannot collide.
+A row's text lists its columns in order, joined by ``|``. NULL is written ``\\N``, which no value can look like, because
+``\\`` and ``|`` inside strings are escaped; so NULL is not the empty string, and shifted text cannot collide.
 
 Doubles are written as a whole number of units of ``10**-scale``, which other SQL engines reproduce. ``exact=True``
 writes the shortest text that identifies the double instead (for checks where both sides are read by Spark).
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 EMPTY_DIGEST = "d41d8cd98f00b204e9800998ecf8427e"  # md5 of the empty string
 SEPARATOR = "|"
+NULL_MARK = "\\N"
 
 
 def micros(column: Column, data_type: T.DataType, utc_session: bool) -> Column:
@@ -37,23 +38,22 @@ def _number_text(column: Column, scale: int, exact: bool) -> Column:
     return F.when(small, F.floor(column * units + 0.5).cast("string")).otherwise(F.concat(F.lit("d"), shortest))
 
 
-def _escaped(column: Column) -> Column:
-    """Escape only strings that need it: the common case is one scan for each of the two characters."""
-    needs = F.contains(column, F.lit("|")) | F.contains(column, F.lit("\\"))
-    full = F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
-    return F.when(needs, full).otherwise(column)
+def _escaped(column: Column, nested: bool) -> Column:
+    if nested:  # inside arrays and structs the marks around elements need escaping too
+        return F.regexp_replace(column, r"([\\|,\[\]()])", r"\\$1")
+    return F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
 
 
 def value_text(column: Column, data_type: T.DataType, *, scale: int = 6, exact: bool = False,
-               utc_session: bool = False) -> Column:
+               utc_session: bool = False, nested: bool = False) -> Column:
     """Text of a value; NULL stays NULL."""
-    options = {"scale": scale, "exact": exact, "utc_session": utc_session}
+    options = {"scale": scale, "exact": exact, "utc_session": utc_session, "nested": True}
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return _number_text(column.cast("double"), scale, exact)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return micros(column, data_type, utc_session).cast("string")
     if isinstance(data_type, T.StringType):
-        return _escaped(column)
+        return _escaped(column, nested)
     if isinstance(data_type, T.BinaryType):
         return F.hex(column)
     if isinstance(data_type, T.ArrayType):
@@ -71,7 +71,7 @@ def value_text(column: Column, data_type: T.DataType, *, scale: int = 6, exact:
 
 def cell_text(column: Column, data_type: T.DataType, **options) -> Column:
     """Text of a value with NULL marked; never NULL itself."""
-    return F.coalesce(F.concat(F.lit("v"), value_text(column, data_type, **options)), F.lit("n"))
+    return F.coalesce(value_text(column, data_type, **options), F.lit(NULL_MARK))
 
 
 def is_utc(df: DataFrame) -> bool:
@@ -94,14 +94,14 @@ def row_md5(df: DataFrame, columns: Sequence[str] | None = None, **options) -> C
     return F.md5(row_text(df, columns, **options))
 
 
-def digest_number(md5_hex: Column, part: int = 0) -> Column:
-    """60 bits of an md5 as an exact number; ``part`` 0 and 1 are independent slices.
+def bag_digest(md5_hex: Column, part: int = 0) -> Column:
+    """Order-independent digest of a bag of rows: the sum of 60 bits of each row's md5.
 
-    Wide enough that a sum over 10**19 rows stays exact.
+    Duplicates count, row order does not, and partial sums combine, so each task sends one small row. ``part`` 0 and 1
+    are independent slices. Three whole-number sums of 20 bits stay exact to 8 * 10**12 rows and, past that, raise
+    under ANSI rules instead of wrapping; they avoid a wide decimal per row.
     """
-    return F.conv(F.substr(md5_hex, F.lit(1 + 15 * part), F.lit(15)), 16, 10).cast("decimal(28,0)")
-
-
-def bag_digest(md5_hex: Column, part: int = 0) -> Column:
-    """Order-independent digest of a bag of rows: duplicates count, row order does not. Partial sums combine."""
-    return F.coalesce(F.sum(digest_number(md5_hex, part)).cast("string"), F.lit("0"))
+    bits = F.conv(F.substr(md5_hex, F.lit(1 + 15 * part), F.lit(15)), 16, 10).cast("bigint")
+    low, middle, high = [F.coalesce(F.sum(F.shiftright(bits, shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0))
+                         .cast("decimal(20,0)") for shift in (0, 20, 40)]
+    return (low + middle * F.lit(2**20) + high * F.lit(2**40)).cast("decimal(38,0)").cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableshift.operators.compare import bucket_compare
@@ -12,6 +12,9 @@ from tableshift.operators.digest import key_bucket
 from tableshift.sources.sides import union_all
 
 
+REPEATED_KEY = "rows cannot be matched because the key repeats"
+
+
 class NotAKey(ValueError):
     """The columns given as a key do not identify rows."""
 
@@ -26,8 +29,18 @@ def require_key(df: DataFrame, keys: Sequence[str], what: str = "table") -> None
         raise NotAKey(f"{what}: {', '.join(keys)} repeats, so rows cannot be matched; use bag_diff")
 
 
-def _side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str) -> DataFrame:
-    return df.select(*keys, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns], F.lit(True).alias(f"{prefix}here"))
+def _side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str, check_key: bool) -> DataFrame:
+    """A side ready to be joined, its columns prefixed and its presence marked.
+
+    The key is checked where the rows meet anyway: numbering the rows of a key uses the join's own shuffle and sort and
+    keeps no rows in memory, so the check needs no extra pass. A second row of a key fails the job.
+    """
+    here = F.lit(True)
+    if check_key:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+        repeated = F.raise_error(F.lit(f"{REPEATED_KEY}: {', '.join(keys)}; use bag_diff")).cast("boolean")
+        here = F.when(number > 1, repeated).otherwise(True)
+    return df.select(*keys, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns], here.alias(f"{prefix}here"))
 
 
 def compared_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> list[str]:
@@ -36,13 +49,13 @@ def compared_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], column
 
 def row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, *,
              check_key: bool = True, keep_values: bool = False, include_same: bool = False) -> DataFrame:
-    """(…keys, change, changed_columns): added, removed or changed rows, NULL-safe in every column."""
+    """(…keys, change, changed_columns): added, removed or changed rows, NULL-safe in every column.
+
+    Each side is read and shuffled once. Running it fails if the key repeats on a side.
+    """
     keys = list(keys)
     columns = compared_columns(old, new, keys, columns)
-    if check_key:
-        require_key(old, keys, "old side")
-        require_key(new, keys, "new side")
-    joined = _side(old, keys, columns, "old_").join(_side(new, keys, columns, "new_"), keys, "full")
+    joined = _side(old, keys, columns, "old_", check_key).join(_side(new, keys, columns, "new_", check_key), keys, "full")
     both = F.col("old_here").isNotNull() & F.col("new_here").isNotNull()
     names = [F.when(both & ~F.col(f"`old_{c}`").eqNullSafe(F.col(f"`new_{c}`")), c) for c in columns]
     changed = F.concat_ws(",", *names) if names else F.lit("")
@@ -53,18 +66,20 @@ def row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Seque
     return result if include_same else result.filter("change <> 'same'")
 
 
-def pruned_row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], digits: int = 2, **options) -> DataFrame:
-    """``row_diff`` that first compares bucket digests and then shuffles rows of differing buckets only.
+def pruned_row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], digits: int = 2, **options) -> DataFrame | None:
+    """``row_diff`` that compares bucket digests first and then shuffles only rows of differing buckets.
 
-    The list of differing buckets has at most ``16**digits`` entries, so it is safe to send to every task.
+    None if every bucket is identical. At most ``16**digits`` bucket names are kept on the driver.
     """
     if digits > 3:
-        raise ValueError("digits above 3 would broadcast more than 4,096 buckets")
-    suspect = F.broadcast(bucket_compare(old, new, keys, digits).filter(~F.col("identical")).select("bucket"))
-
-    def narrowed(df):
-        return (df.withColumn("bucket", key_bucket(df, keys, digits)).join(suspect, "bucket", "left_semi").drop("bucket"))
-    return row_diff(narrowed(old), narrowed(new), keys, **options)
+        raise ValueError("digits above 3 would list more than 4,096 buckets")
+    compared = bucket_compare(old, new, keys, digits)
+    suspect = [r["bucket"] for r in compared.filter(~F.col("identical")).select("bucket").collect()]
+    if not suspect:
+        return None
+    if len(suspect) < 16**digits:
+        old, new = [df.filter(key_bucket(df, keys, digits).isin(suspect)) for df in (old, new)]
+    return row_diff(old, new, keys, **options)
 
 
 def changed_column_counts(diff: DataFrame) -> DataFrame:

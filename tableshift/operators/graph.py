@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableshift.session import cut_lineage, work_folder
+from tableshift.session import counted_step, cut_lineage, work_folder
 
 
 def reach(seeds: DataFrame, edges: DataFrame, node: str, labels: Sequence[str] = (), max_rounds: int = 1000) -> DataFrame:
@@ -25,8 +25,8 @@ def reach(seeds: DataFrame, edges: DataFrame, node: str, labels: Sequence[str] =
         found = spark.read.schema(frontier.schema).option("recursiveFileLookup", "true").parquet(folder)
         step = (edges.join(frontier.withColumnRenamed(node, "source"), "source")
                 .select(F.col("target").alias(node), *labels).distinct())
-        frontier = cut_lineage(step.join(found, columns, "left_anti"), f"{folder}/round={number}")
-        if frontier.isEmpty():
+        frontier, fresh = counted_step(step.join(found, columns, "left_anti"), f"{folder}/round={number}")
+        if not fresh:
             return found
     raise RuntimeError(f"not finished after {max_rounds} rounds")
 

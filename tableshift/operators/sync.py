@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableshift.functions.times import DAY, SECOND
@@ -46,18 +46,20 @@ def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_
     one = last_before(marked, [key], time, F.col("mark"), name="mark1", tie=[order], slot_micros=slot_micros)
     pair = F.when(F.col("mark").isNotNull(), F.concat(F.col("mark"), F.coalesce("mark1", F.lit("-"))))
     two = last_before(one, [key], time, pair, name="mark2", tie=[order], slot_micros=slot_micros)
-    started = polls.groupBy(key).agg(F.min(time).alias("started"))
+    # The start of each sync is looked up per (key, slot), the grouping the rows already have, so a hot key stays spread.
+    slot = F.floor(F.col(time) / F.lit(slot_micros)).alias("slot")
+    starts = polls.groupBy(key, slot).agg(F.min(time).alias("first")).select(
+        key, "slot", F.min("first").over(Window.partitionBy(key)).alias("started"))
     rows = F.when(missing, 0).otherwise(F.col("rows"))
     state = F.coalesce("state", F.lit("unknown"))
     outcome = (F.when(other & (F.col("mark2") == "ee"), "error")
                .when(F.contains(state, F.lit("FAILED")), "failed")
                .when(ready(state, rows, expected_rows), "ready")
                .when(F.col(time) - F.col("started") > timeout_seconds * SECOND, "timeout"))
-    ended = two.join(started, key).withColumn("outcome", outcome).filter("outcome is not null")
-    first = ended.groupBy(key).agg(F.min_by("outcome", F.struct(time, order)).alias("outcome"),
-                                   F.min(time).alias("at"))
-    return (started.join(first, key, "left")
-            .select(key, F.coalesce("outcome", F.lit("waiting")).alias("outcome"), "at"))
+    judged = two.withColumn("slot", slot).join(starts, [key, "slot"]).withColumn("outcome", outcome)
+    ended = F.when(F.col("outcome").isNotNull(), F.struct(time, order))
+    return (judged.groupBy(key)
+            .agg(F.coalesce(F.min_by("outcome", ended), F.lit("waiting")).alias("outcome"), F.min(ended[time]).alias("at")))
 
 
 def late_writes(df: DataFrame, id_column: str, mark: int | DataFrame) -> DataFrame:

@@ -32,17 +32,15 @@ def migrate(store: VersionStore, migrations: Sequence[Migration], up_to: int, no
     """
     spark = store.spark
     tables = store.tables()
-    ledger = tables.get(LEDGER)
-    done = {r["version"] for r in ledger.select("version").collect()} if ledger is not None else set()
+    done = {r["version"] for r in tables[LEDGER].select("version").collect()} if LEDGER in tables else set()
     for step in sorted(migrations, key=lambda m: m.version):
         if step.version > up_to or step.version <= baseline or step.version in done:
             continue
-        changed = dict(step.apply(store.tables()))
+        changed = dict(step.apply(tables))
         row = spark.createDataFrame([(step.version, step.description)], "version int, description string")
         row = row.withColumn("applied_at", F.timestamp_micros(F.lit(now)))
-        changed[LEDGER] = row if ledger is None else ledger.unionByName(row)
-        store.export(changed, now, f"V{step.version}", keep_others=True)
-        ledger = store.read(LEDGER)
+        changed[LEDGER] = tables[LEDGER].unionByName(row) if LEDGER in tables else row
+        tables = store.tables(store.export(changed, now, f"V{step.version}", keep_others=True))
         done.add(step.version)
         now += SECOND
     return sorted(done)

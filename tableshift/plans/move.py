@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableshift.operators.constraints import Rules, constraint_report
-from tableshift.operators.digest import bag_fingerprint
 from tableshift.operators.graph import reach
-from tableshift.sources.sides import union_all
 from tableshift.sources.versions import NotPublished, VersionStore, matches_any
 
 # Entries the platform owns: an owner at the end of the line, or an object of its own schema. Callers pass their own.
@@ -77,14 +75,12 @@ def restore(source: VersionStore, target: VersionStore, committed_at: int, *, ve
     wanted = {e["table"]: (e["rows"], e["digest"]) for e in entries
               if not any(re.search(p, e["table"]) for p in exclude)}
 
-    def problems(written):
-        frames = [bag_fingerprint(df).filter((F.col("rows") != wanted[name][0]) | (F.col("digest") != wanted[name][1]))
-                  .select(F.lit(name).alias("table")) for name, df in written.items()]
-        if rules:
-            checked = {name: r for name, r in rules.items() if name in written}
-            frames.append(constraint_report(written, checked).filter("violations > 0").select("table"))
-        return union_all(frames)
+    def broken(written):
+        checked = {name: r for name, r in (rules or {}).items() if name in written}
+        return constraint_report(written, checked).filter("violations > 0")
 
     if not wanted:
         raise NotPublished("there is nothing to restore")
-    return target.export(source.tables(version), committed_at, tag, exclude=exclude, validate=problems)
+    tables = source.tables(version)
+    return target.export({name: tables[name] for name in wanted}, committed_at, tag, expect=wanted,
+                         validate=broken if rules else None)

@@ -14,11 +14,13 @@ from tableshift.sources.sides import Side
 
 
 def drill_down(old: Side, new: Side, keys: Mapping[tuple[str, str], Sequence[str]]) -> dict[tuple[str, str], DataFrame]:
-    """Row diffs of only those keyed tables whose fingerprints differ; nothing else is shuffled."""
-    verdicts = copy_compare(old, new).filter("not identical").select("database", "table").collect()  # one row per table
-    differing = {(r["database"], r["table"]) for r in verdicts} & set(keys)
-    return {name: pruned_row_diff(old.tables[name], new.tables[name], keys[name])
-            for name in sorted(differing) if name in old.tables and name in new.tables}
+    """Row diffs of the keyed tables on both sides that differ.
+
+    Bucket digests say whether a table differs at all and where, so identical buckets are never shuffled.
+    """
+    shared = [name for name in sorted(keys) if name in old.tables and name in new.tables]
+    diffs = {name: pruned_row_diff(old.tables[name], new.tables[name], keys[name]) for name in shared}
+    return {name: df for name, df in diffs.items() if df is not None}
 
 
 def cutover_gate(old: Side, new: Side, *, watermarks: Mapping[tuple[str, str], str], sequences: DataFrame,

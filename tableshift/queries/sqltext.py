@@ -55,7 +55,7 @@ def _text(name: str, kind: str) -> str:
 
 
 def _cell(name: str, kind: str) -> str:
-    return f"coalesce('v' || {_text(name, kind)}, 'n')"
+    return rf"coalesce({_text(name, kind)}, '\N')"
 
 
 def row_md5(table: str, columns: list[str] | None = None) -> str:

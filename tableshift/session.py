@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,9 +45,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its working files."""
+    return f"{shared_folder(spark)}/tableshift/{spark.sparkContext.applicationId}"
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tableshift/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in this application's folder."""
+    return f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_run_folder(spark: SparkSession) -> bool:
+    """Delete this application's working files, once nothing reads them any more. Stores with their own root stay."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -55,6 +67,12 @@ def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     A written table is used because a checkpointed frame keeps the constraints of the plan it came from, which grow
     with every round of a loop.
     """
+    return counted_step(df, path)[0]
+
+
+def counted_step(df: DataFrame, path: str | None = None) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the number of rows, counted while they are written."""
     path = path or work_folder(df.sparkSession, "step")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

@@ -53,29 +53,34 @@ class VersionStore:
         return self.manifest().agg(F.max("version")).first()[0]
 
     def export(self, tables: Mapping[str, DataFrame], committed_at: int, tag: str | None = None, *,
-               exclude: Sequence[str] = (), validate: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
+               exclude: Sequence[str] = (), expect: Mapping[str, tuple[int, str]] | None = None,
+               validate: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
                keep_others: bool = False) -> int:
         """Publish the tables as the next version and return its number.
 
-        ``exclude`` leaves out tables whose name matches a pattern, and proves they are not in the result. ``validate``
-        gets the written tables and returns a frame of problems, which must be empty. ``keep_others`` carries the last
-        version's other tables over by reference.
+        ``exclude`` leaves out tables whose name matches a pattern, and proves they are not in the result. ``expect``
+        gives fingerprints (rows, digest) the written tables must have. ``validate`` gets the written tables and returns
+        a frame of problems, which must be empty. ``keep_others`` carries the last version's other tables over by
+        reference.
         """
         wanted = {n: df for n, df in tables.items() if not any(re.search(p, n) for p in exclude)}
-        last = self.latest_version()
-        version = 1 if last is None else last + 1
-        if last is not None and committed_at <= self.manifest().agg(F.max("committed_at")).first()[0]:
+        latest = self.manifest().agg(F.max(F.struct("version", "committed_at")).alias("m")).first()["m"]
+        version = latest["version"] + 1 if latest else 1
+        if latest and committed_at <= latest["committed_at"]:
             raise NotPublished("a version must be committed after the one before it")
         with ThreadPoolExecutor(self.parallel_tables) as pool:
             rows = list(pool.map(lambda item: self._write(version, *item), wanted.items()))
+        for table, count, digest, *_ in rows:
+            if expect is not None and expect.get(table) != (count, digest):
+                raise NotPublished(f"{table} is not what was expected")
         if validate is not None:
             problems = validate({r[0]: self.spark.read.parquet(r[4]) for r in rows})
             if not problems.isEmpty():
                 raise NotPublished(f"version {version} failed validation and was not published")
         entries = [(version, committed_at, tag, *r) for r in rows]
-        if keep_others and last is not None:
+        if keep_others and latest:
             entries += [(version, committed_at, tag, r["table"], r["rows"], r["digest"], r["columns"], r["path"])
-                        for r in self._entries(last) if r["table"] not in wanted]
+                        for r in self._entries(latest["version"]) if r["table"] not in wanted]
         if any(re.search(p, e[3]) for e in entries for p in exclude):
             raise NotPublished("an excluded table is still in the export")
         # The folder must not exist yet, and its single file appears in one step.

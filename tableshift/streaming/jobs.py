@@ -68,12 +68,17 @@ class ChangeLogSync:
     def current(self, base: DataFrame | None = None) -> DataFrame:
         """The copy's rows now, with their version; deleted rows are gone."""
         log = self._read("changes")
-        known = [df for df in (base, log) if df is not None]
-        if not known:
-            return self.spark.createDataFrame([], self.schema)
-        rows = known[0] if len(known) == 1 else known[0].unionByName(known[1])
-        newest = first_per_key(rows, self.keys, [self.version], last=True)
-        return newest.filter(~F.expr(self.deleted))
+        if log is None:
+            found = self.spark.createDataFrame([], self.schema) if base is None else base
+        else:
+            found = first_per_key(log, self.keys, [self.version], last=True)
+            if base is not None:
+                # Only base rows with a change meet the log; the rest passes through beside it.
+                touched = found.select(*self.keys)
+                both = base.join(touched, self.keys, "left_semi").unionByName(found)
+                found = (base.join(touched, self.keys, "left_anti")
+                         .unionByName(first_per_key(both, self.keys, [self.version], last=True)))
+        return found.filter(~F.expr(self.deleted))
 
     def compact(self, base: DataFrame | None = None) -> DataFrame:
         """Write the current rows as a new base and return it. Later batches go on top of it."""
