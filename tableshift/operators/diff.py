@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableshift.functions.text import any_of
 from tableshift.operators.compare import bucket_compare
 from tableshift.operators.digest import key_bucket
 from tableshift.sources.sides import union_all
 
 
-REPEATED_KEY = "rows cannot be matched because the key repeats"
+REPEATED_KEY = "rows cannot be matched because the key repeats or is NULL"
 
 
 class NotAKey(ValueError):
@@ -33,13 +34,14 @@ def _side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: st
     """A side ready to be joined, its columns prefixed and its presence marked.
 
     The key is checked where the rows meet anyway: numbering the rows of a key uses the join's own shuffle and sort and
-    keeps no rows in memory, so the check needs no extra pass. A second row of a key fails the job.
+    keeps no rows in memory, so the check needs no extra pass. A second row of a key, or a NULL in it, fails the job.
     """
     here = F.lit(True)
     if check_key:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-        repeated = F.raise_error(F.lit(f"{REPEATED_KEY}: {', '.join(keys)}; use bag_diff")).cast("boolean")
-        here = F.when(number > 1, repeated).otherwise(True)
+        empty = any_of([F.col(k).isNull() for k in keys])
+        refused = F.raise_error(F.lit(f"{REPEATED_KEY}: {', '.join(keys)}; use bag_diff")).cast("boolean")
+        here = F.when((number > 1) | empty, refused).otherwise(True)
     return df.select(*keys, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns], here.alias(f"{prefix}here"))
 
 
@@ -51,7 +53,7 @@ def row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Seque
              check_key: bool = True, keep_values: bool = False, include_same: bool = False) -> DataFrame:
     """(…keys, change, changed_columns): added, removed or changed rows, NULL-safe in every column.
 
-    Each side is read and shuffled once. Running it fails if the key repeats on a side.
+    Each side is read and shuffled once. Running it fails if the key repeats or is NULL on a side.
     """
     keys = list(keys)
     columns = compared_columns(old, new, keys, columns)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableshift.operators.diff import REPEATED_KEY
 from tableshift.operators.mutate import insert_if_absent, keyed_update
+from tableshift.sources.sides import union_all
 
 
 def branch_only(branch: DataFrame, production: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,14 +34,21 @@ def three_way(base: DataFrame, branch: DataFrame, target: DataFrame, keys: Seque
 
     (…keys, action, conflicts, …columns): ``take`` the branch's edit, ``merge`` edits of different columns, ``keep`` the
     target, ``delete``, ``same``, or ``conflict`` with the columns both sides set to different values (the target's
-    values are shown; nothing is picked). All three sides meet in one shuffle on the key.
+    values are shown; nothing is picked). All three sides meet in one shuffle on the key, which must not repeat.
     """
     keys = list(keys)
     columns = [c for c in base.columns if c not in keys]
 
-    def side(df, p):
-        return df.select(*keys, F.struct(*columns).alias(p))
-    joined = side(base, "b").join(side(branch, "r"), keys, "full").join(side(target, "t"), keys, "full")
+    def side(df, name):
+        return df.select(*keys, F.lit(name).alias("side"), F.struct(*columns).alias("row"))
+    # Nothing collapses before the shuffle, so rows are spread by key first and sorted once where they meet.
+    met = union_all([side(base, "b"), side(branch, "r"), side(target, "t")]).repartition(*keys).groupBy(*keys)
+
+    def only_row(name):
+        own = F.when(F.col("side") == name, F.col("row"))
+        refused = F.raise_error(F.lit(f"{REPEATED_KEY}: {', '.join(keys)}"))
+        return F.when(F.count(own) > 1, refused).otherwise(F.max(own)).alias(name)
+    joined = met.agg(*[only_row(name) for name in ("b", "r", "t")])
     b, r, t = F.col("b"), F.col("r"), F.col("t")
 
     def moved(x, c):

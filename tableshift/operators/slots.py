@@ -15,23 +15,31 @@ from pyspark.sql import functions as F
 from tableshift.functions.times import DAY
 
 
+def slot_start(time: str | Column, slot_micros: int) -> Column:
+    """The start of the slot a moment lies in."""
+    at = F.col(time) if isinstance(time, str) else time
+    return at - F.pmod(at, F.lit(slot_micros))
+
+
 def last_before(df: DataFrame, keys: Sequence[str], time: str, value: Column, *, name: str,
                 tie: Sequence[str] = (), slot_micros: int = DAY) -> DataFrame:
     """Add ``name``: the newest non-NULL ``value`` strictly before each row of its key, in (time, tie) order."""
     keys = list(keys)
     order = [time, *tie]
-    cut = df.withColumn("_slot", F.floor(F.col(time) / F.lit(slot_micros))).withColumn("_value", value)
-    inside = Window.partitionBy(*keys, "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # A struct is never NULL, so rows with a NULL key or moment keep their group and survive the join on it.
+    cut = df.withColumn("_group", F.struct(*keys, slot_start(time, slot_micros).alias("_slot"))).withColumn("_value", value)
+    inside = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     near = cut.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
 
     # A NULL ordering never wins, so a slot without a value carries NULL but is still listed.
     rank = F.struct(*order) if tie else F.col(time)
-    summary = cut.groupBy(*keys, "_slot").agg(
+    summary = cut.groupBy("_group").agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), rank)).alias("_carry"))
-    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(*keys, "_slot", F.last("_carry", ignorenulls=True).over(earlier).alias("_far"))
-    return (near.join(carried, [*keys, "_slot"])
-            .withColumn(name, F.coalesce("_near", "_far")).drop("_slot", "_value", "_near", "_far"))
+    earlier = (Window.partitionBy(*[F.col(f"_group.{k}") for k in keys]).orderBy("_group._slot")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carried = summary.select("_group", F.last("_carry", ignorenulls=True).over(earlier).alias("_far"))
+    return (near.join(carried, "_group")
+            .withColumn(name, F.coalesce("_near", "_far")).drop("_group", "_value", "_near", "_far"))
 
 
 def write_gaps(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str] = (), slot_micros: int = DAY) -> DataFrame:
@@ -49,7 +57,7 @@ def as_of_version(moments: DataFrame, versions: DataFrame, keys: Sequence[str],
     columns = moments.columns
     as_moment = moments.withColumn(version, F.lit(None).cast(versions.schema[version].dataType)).withColumn("_late", F.lit(1))
     blank = {c: F.lit(None).cast(moments.schema[c].dataType).alias(c) for c in columns}
-    as_version = versions.select(*[F.col(c) if c in (*keys, time) else blank[c] for c in columns], version,
+    as_version = versions.filter(F.col(time).isNotNull()).select(*[F.col(c) if c in (*keys, time) else blank[c] for c in columns], version,
                                  F.lit(0).alias("_late"))
     line = as_moment.unionByName(as_version)
     found = last_before(line, keys, time, F.col(version), name="_found", tie=["_late", version], slot_micros=slot_micros)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tableshift.functions.times import DAY, SECOND
 from tableshift.operators.diff import require_key
-from tableshift.operators.slots import last_before
+from tableshift.operators.slots import last_before, slot_start
 from tableshift.sources.versions import VersionStore
 
 
@@ -47,16 +47,16 @@ def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_
     pair = F.when(F.col("mark").isNotNull(), F.concat(F.col("mark"), F.coalesce("mark1", F.lit("-"))))
     two = last_before(one, [key], time, pair, name="mark2", tie=[order], slot_micros=slot_micros)
     # The start of each sync is looked up per (key, slot), the grouping the rows already have, so a hot key stays spread.
-    slot = F.floor(F.col(time) / F.lit(slot_micros)).alias("slot")
-    starts = polls.groupBy(key, slot).agg(F.min(time).alias("first")).select(
-        key, "slot", F.min("first").over(Window.partitionBy(key)).alias("started"))
+    group = F.struct(F.col(key).alias("key"), slot_start(time, slot_micros).alias("slot")).alias("group")
+    starts = polls.groupBy(group).agg(F.min(time).alias("first")).select(
+        "group", F.min("first").over(Window.partitionBy("group.key")).alias("started"))
     rows = F.when(missing, 0).otherwise(F.col("rows"))
     state = F.coalesce("state", F.lit("unknown"))
     outcome = (F.when(other & (F.col("mark2") == "ee"), "error")
                .when(F.contains(state, F.lit("FAILED")), "failed")
                .when(ready(state, rows, expected_rows), "ready")
                .when(F.col(time) - F.col("started") > timeout_seconds * SECOND, "timeout"))
-    judged = two.withColumn("slot", slot).join(starts, [key, "slot"]).withColumn("outcome", outcome)
+    judged = two.withColumn("group", group).join(starts, "group").withColumn("outcome", outcome)
     ended = F.when(F.col("outcome").isNotNull(), F.struct(time, order))
     return (judged.groupBy(key)
             .agg(F.coalesce(F.min_by("outcome", ended), F.lit("waiting")).alias("outcome"), F.min(ended[time]).alias("at")))

@@ -27,6 +27,17 @@ def configure(builder: SparkSession.Builder, **overrides: str) -> SparkSession.B
     return builder
 
 
+def sized_for(total_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a volume of data: enough shuffle partitions that each stays near 128 MiB.
+
+    Adaptive execution merges partitions that turn out small, and splits skewed ones, but never adds any.
+    """
+    partitions = max(200, -(-total_bytes // partition_bytes))
+    large = total_bytes > 1 << 40
+    return {"spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+            "spark.sql.files.maxPartitionBytes": str((256 if large else 128) << 20)}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

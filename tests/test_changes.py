@@ -131,5 +131,7 @@ def test_three_way(spark, rows):
         (11, "conflict", "*inserted twice*", "n", "n"), (12, "keep", "", "t", "t"), (13, "delete", "", "a", "b")], key=repr)
     with pytest.raises(ValueError, match="conflicts"):
         reconcile.merged_table(merged, ["k"])
+    with pytest.raises(Exception, match="key repeats"):
+        reconcile.three_way(base.union(base), branch, target, ["k"]).collect()
     clean = reconcile.three_way(base.filter("k < 5"), branch.filter("k < 5"), target.filter("k < 5"), ["k"])
     assert rows(reconcile.merged_table(clean, ["k"])) == [(1, "a", "b"), (2, "X", "b"), (3, "Y", "b"), (4, "X", "Y")]

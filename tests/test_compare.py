@@ -22,6 +22,9 @@ def test_row_diff_refuses_a_repeated_key(spark):
     old = spark.createDataFrame([(1, "x"), (1, "y")], "k int, a string")
     with pytest.raises(PySparkException, match="key repeats"):
         diff.row_diff(old, old.limit(1), ["k"]).collect()
+    missing = spark.createDataFrame([(None, "x")], old.schema)
+    with pytest.raises(PySparkException, match="key repeats"):
+        diff.row_diff(missing, missing, ["k"]).collect()
     with pytest.raises(diff.NotAKey):
         diff.require_key(old, ["k"])
 

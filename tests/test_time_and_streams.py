@@ -42,7 +42,13 @@ def test_a_hot_key_is_spread_over_slots(spark):
     key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
     df = spark.range(1000).select(key, (F.col("id") * 10).alias("at"))
     plan = slots.write_gaps(df, ["k"], "at", slot_micros=100)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k" in plan and "_slot" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "hashpartitioning(_group" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_rows_without_key_or_moment_are_kept(spark, rows):
+    df = spark.createDataFrame([(None, 5), (None, 9), ("a", None), ("a", 7), (None, None)], "k string, at long")
+    assert rows(slots.write_gaps(df, ["k"], "at", slot_micros=3)) == sorted(
+        [(None, 5, None), (None, 9, 4), ("a", None, None), ("a", 7, None), (None, None, None)], key=repr)
 
 
 def test_pause_length(spark, rows):
