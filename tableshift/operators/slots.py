@@ -11,45 +11,79 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableshift.functions.times import DAY
+from tableshift.functions.times import DAY, HOUR, MINUTE, SECOND
 
 
-def slot_start(time: str | Column, slot_micros: int) -> Column:
-    """The start of the slot a moment lies in."""
-    at = F.col(time) if isinstance(time, str) else time
-    return at - F.pmod(at, F.lit(slot_micros))
+SLOT_WIDTHS = (DAY, HOUR, MINUTE, SECOND)
+SLOT_ROWS = 4_000_000
+
+
+def choose_slot(df: DataFrame, keys: Sequence[str], time: str, most_rows: int = SLOT_ROWS,
+                widths: Sequence[int] = SLOT_WIDTHS) -> int:
+    """The widest slot in which no key has more than ``most_rows`` rows, else the narrowest.
+
+    Counting combines inside tasks, and only one number per width reaches the driver; most data needs one pass.
+    """
+    for width in sorted(widths, reverse=True):
+        counted, group = with_groups(df, keys, time, width)
+        densest = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (densest or 0) <= most_rows:
+            return width
+    return min(widths)
+
+
+def with_groups(df: DataFrame, keys: Sequence[str], time: str, slot_micros: int) -> tuple[DataFrame, list[str]]:
+    """Add the columns that name a row's (key, slot), and return their names; the last is the slot.
+
+    They are never NULL, so rows with a NULL key or moment keep a group of their own and survive a join on it: a filler
+    takes the place of a NULL and ``_nulls`` says where. Plain columns sort and hash faster than a struct of them.
+    """
+    columns, flags = {}, []
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        number = isinstance(kind, T.NumericType)
+        value = F.col(key) if number or isinstance(kind, T.StringType) else F.col(key).cast("string")
+        columns[f"_key{i}"] = F.coalesce(value, F.lit(0).cast(kind) if number else F.lit(""))
+        flags.append(F.when(F.col(key).isNull(), 1 << i).otherwise(0))
+    at = F.col(time)
+    flags.append(F.when(at.isNull(), 1 << len(keys)).otherwise(0))
+    columns["_nulls"] = sum(flags[1:], flags[0])
+    columns["_slot"] = F.coalesce(at - F.pmod(at, F.lit(slot_micros)), F.lit(0))
+    return df.withColumns(columns), list(columns)
 
 
 def last_before(df: DataFrame, keys: Sequence[str], time: str, value: Column, *, name: str,
-                tie: Sequence[str] = (), slot_micros: int = DAY) -> DataFrame:
-    """Add ``name``: the newest non-NULL ``value`` strictly before each row of its key, in (time, tie) order."""
+                tie: Sequence[str] = (), slot_micros: int | None = None) -> DataFrame:
+    """Add ``name``: the newest non-NULL ``value`` strictly before each row of its key, in (time, tie) order.
+
+    The slot width is measured unless given.
+    """
     keys = list(keys)
+    slot_micros = slot_micros or choose_slot(df, keys, time)
     order = [time, *tie]
-    # A struct is never NULL, so rows with a NULL key or moment keep their group and survive the join on it.
-    cut = df.withColumn("_group", F.struct(*keys, slot_start(time, slot_micros).alias("_slot"))).withColumn("_value", value)
-    inside = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    cut, group = with_groups(df.withColumn("_value", value), keys, time, slot_micros)
+    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     near = cut.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
 
     # A NULL ordering never wins, so a slot without a value carries NULL but is still listed.
     rank = F.struct(*order) if tie else F.col(time)
-    summary = cut.groupBy("_group").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), rank)).alias("_carry"))
-    earlier = (Window.partitionBy(*[F.col(f"_group.{k}") for k in keys]).orderBy("_group._slot")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = summary.select("_group", F.last("_carry", ignorenulls=True).over(earlier).alias("_far"))
-    return (near.join(carried, "_group")
-            .withColumn(name, F.coalesce("_near", "_far")).drop("_group", "_value", "_near", "_far"))
+    summary = cut.groupBy(*group).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), rank)).alias("_carry"))
+    earlier = Window.partitionBy(*group[:-1]).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(*group, F.last("_carry", ignorenulls=True).over(earlier).alias("_far"))
+    return (near.join(carried, group)
+            .withColumn(name, F.coalesce("_near", "_far")).drop(*group, "_value", "_near", "_far"))
 
 
-def write_gaps(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str] = (), slot_micros: int = DAY) -> DataFrame:
+def write_gaps(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str] = (), slot_micros: int | None = None) -> DataFrame:
     """Add ``gap_micros``: time since the key's previous write; NULL for its first."""
     found = last_before(df, keys, time, F.col(time), name="_previous", tie=tie, slot_micros=slot_micros)
     return found.withColumn("gap_micros", F.col(time) - F.col("_previous")).drop("_previous")
 
 
 def as_of_version(moments: DataFrame, versions: DataFrame, keys: Sequence[str], time: str, version: str, *,
-                  slot_micros: int = DAY) -> DataFrame:
+                  slot_micros: int | None = None) -> DataFrame:
     """Each moment with the newest version of its key committed at or before it; NULL before the first.
 
     ``versions`` has (…keys, time, version). A version committed at the very moment counts.

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableshift.functions.times import DAY, SECOND
+from tableshift.functions.times import SECOND
 from tableshift.operators.diff import require_key
-from tableshift.operators.slots import last_before, slot_start
+from tableshift.operators.slots import choose_slot, last_before, with_groups
 from tableshift.sources.versions import VersionStore
 
 
@@ -33,13 +33,14 @@ def ready(state: Column, rows: Column, expected: int | Column) -> Column:
 
 
 def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_rows: int, timeout_seconds: int,
-                 slot_micros: int = DAY) -> DataFrame:
+                 slot_micros: int | None = None) -> DataFrame:
     """(key, outcome, at): how each sync's waiting ended, over polls (key, time, order, state, rows, error).
 
     A poll of a table that does not exist yet counts as 0 rows. The third other error without a good poll in between
     ends it as ``error``; a failed state as ``failed``; enough rows while online as ``ready``; too long as ``timeout``.
     What has not ended is ``waiting``.
     """
+    slot_micros = slot_micros or choose_slot(polls, [key], time)
     missing, other = F.col("error") == "missing", F.col("error") == "other"
     mark = F.when(other, "e").when(F.col("error").isNull(), "g")  # a missing table neither counts nor resets
     marked = polls.withColumn("mark", mark)
@@ -47,16 +48,16 @@ def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_
     pair = F.when(F.col("mark").isNotNull(), F.concat(F.col("mark"), F.coalesce("mark1", F.lit("-"))))
     two = last_before(one, [key], time, pair, name="mark2", tie=[order], slot_micros=slot_micros)
     # The start of each sync is looked up per (key, slot), the grouping the rows already have, so a hot key stays spread.
-    group = F.struct(F.col(key).alias("key"), slot_start(time, slot_micros).alias("slot")).alias("group")
-    starts = polls.groupBy(group).agg(F.min(time).alias("first")).select(
-        "group", F.min("first").over(Window.partitionBy("group.key")).alias("started"))
+    rows_in_slots, group = with_groups(two, [key], time, slot_micros)
+    starts = with_groups(polls, [key], time, slot_micros)[0].groupBy(*group).agg(F.min(time).alias("first")).select(
+        *group, F.min("first").over(Window.partitionBy(*group[:-1])).alias("started"))
     rows = F.when(missing, 0).otherwise(F.col("rows"))
     state = F.coalesce("state", F.lit("unknown"))
     outcome = (F.when(other & (F.col("mark2") == "ee"), "error")
                .when(F.contains(state, F.lit("FAILED")), "failed")
                .when(ready(state, rows, expected_rows), "ready")
                .when(F.col(time) - F.col("started") > timeout_seconds * SECOND, "timeout"))
-    judged = two.withColumn("group", group).join(starts, "group").withColumn("outcome", outcome)
+    judged = rows_in_slots.join(starts, group).withColumn("outcome", outcome)
     ended = F.when(F.col("outcome").isNotNull(), F.struct(time, order))
     return (judged.groupBy(key)
             .agg(F.coalesce(F.min_by("outcome", ended), F.lit("waiting")).alias("outcome"), F.min(ended[time]).alias("at")))

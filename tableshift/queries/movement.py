@@ -68,7 +68,7 @@ def as_of_versions(t):
     log = fx.events_log(t)
     moments = log.filter("event_type <> 'purchase'").select("user_id", "at", "event_id")
     versions = log.filter("event_type = 'purchase'").select("user_id", "at", F.col("event_id").alias("version"))
-    return as_of_version(moments, versions, ["user_id"], "at", "version", slot_micros=6 * HOUR).drop("at")
+    return as_of_version(moments, versions, ["user_id"], "at", "version").drop("at")
 
 
 @query(f"""

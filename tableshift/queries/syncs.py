@@ -141,7 +141,7 @@ select event_id, user_id, epoch_us(ts) as at,
        round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 1e6, 1) as gap_seconds from events""")
 def write_gaps(t):
     log = fx.events_log(t).select("event_id", "user_id", "at")
-    return (slots.write_gaps(log, ["user_id"], "at", ["event_id"], slot_micros=6 * HOUR)
+    return (slots.write_gaps(log, ["user_id"], "at", ["event_id"])
             .withColumn("gap_seconds", F.round(F.col("gap_micros") / 1e6, 1)))
 
 

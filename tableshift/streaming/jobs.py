@@ -35,11 +35,11 @@ def drain(stream: DataFrame, purpose: str = "stream") -> DataFrame:
 
 
 class ChangeLogSync:
-    """Upserts a stream of row changes into a copy, as a log of per-batch changes over a base table.
+    """Upserts a stream of row changes into a copy, as a log of per-batch changes over a base.
 
     A batch is reduced to the newest change per key and overwrites its own folder, so a batch that is delivered again
     changes nothing, and no trigger rewrites the whole copy. Reading resolves the newest change per key; ``compact``
-    turns base and log into a new base.
+    turns base and log into a new base, after which only later batches are read.
     """
 
     def __init__(self, spark: SparkSession, keys: Sequence[str], version: str, deleted: str, schema: T.StructType,
@@ -48,8 +48,7 @@ class ChangeLogSync:
         self.root = (root or work_folder(spark, "changelog")).rstrip("/")
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        last = first_per_key(batch, self.keys, [self.version], last=True)
-        last.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        self._newest(batch).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
 
     def start(self, stream: DataFrame, every: str | None = None):
         """Run once over what is there (triggered), or keep running at an interval (continuous)."""
@@ -58,33 +57,41 @@ class ChangeLogSync:
         writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
         return writer.start()
 
-    def _read(self, part: str) -> DataFrame | None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{part}")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        return (self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
-                .parquet(f"{self.root}/{part}"))
-
-    def current(self, base: DataFrame | None = None) -> DataFrame:
-        """The copy's rows now, with their version; deleted rows are gone."""
-        log = self._read("changes")
-        if log is None:
-            found = self.spark.createDataFrame([], self.schema) if base is None else base
-        else:
-            found = first_per_key(log, self.keys, [self.version], last=True)
-            if base is not None:
-                # Only base rows with a change meet the log; the rest passes through beside it.
-                touched = found.select(*self.keys)
-                both = base.join(touched, self.keys, "left_semi").unionByName(found)
-                found = (base.join(touched, self.keys, "left_anti")
-                         .unionByName(first_per_key(both, self.keys, [self.version], last=True)))
-        return found.filter(~F.expr(self.deleted))
-
-    def compact(self, base: DataFrame | None = None) -> DataFrame:
-        """Write the current rows as a new base and return it. Later batches go on top of it."""
-        path = work_folder(self.spark, "base")
-        self.current(base).write.parquet(path)
-        return self.spark.read.schema(self.schema).parquet(path)
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return first_per_key(rows, self.keys, [self.version], last=True)
+
+    def _finished(self, part: str, label: str) -> list[int]:
+        """Numbers of the completely written ``label=n`` folders, by their success marks."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.root}/{part}")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        marks = files.globStatus(hadoop.Path(folder, f"{label}=*/_SUCCESS")) or []
+        return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
+
+    def _resolved(self) -> DataFrame:
+        """The newest change per key, deletions included."""
+        bases, batches = self._finished("base", "through"), self._finished("changes", "batch")
+        base = self.spark.read.schema(self.schema).parquet(f"{self.root}/base/through={bases[-1]}") if bases else None
+        later = [f"{self.root}/changes/batch={b}" for b in batches if not bases or b > bases[-1]]
+        if not later:
+            return self.spark.createDataFrame([], self.schema) if base is None else base
+        fresh = self._newest(self.spark.read.schema(self.schema).parquet(*later))
+        if base is None:
+            return fresh
+        # Only base rows with a later change meet the log; the rest passes through beside it.
+        touched = fresh.select(*self.keys)
+        met = base.join(touched, self.keys, "left_semi").unionByName(fresh)
+        return base.join(touched, self.keys, "left_anti").unionByName(self._newest(met))
+
+    def current(self) -> DataFrame:
+        """The copy's rows now; deleted rows are gone."""
+        return self._resolved().filter(~F.coalesce(F.expr(self.deleted), F.lit(False)))
+
+    def compact(self) -> None:
+        """Write a new base that covers every batch so far. Deletions stay in it, so a late older change cannot undo one."""
+        batches = self._finished("changes", "batch")
+        if batches and batches[-1:] != self._finished("base", "through")[-1:]:
+            self._resolved().write.mode("overwrite").parquet(f"{self.root}/base/through={batches[-1]}")
 
 
 def without_resends(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:

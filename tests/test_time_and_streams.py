@@ -42,7 +42,15 @@ def test_a_hot_key_is_spread_over_slots(spark):
     key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
     df = spark.range(1000).select(key, (F.col("id") * 10).alias("at"))
     plan = slots.write_gaps(df, ["k"], "at", slot_micros=100)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_group" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "hashpartitioning(_key0" in plan and "_slot" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_slot_width_follows_the_densest_key(spark):
+    df = spark.createDataFrame(log(), "k string, at long, i long").withColumn("at", F.col("at") * SECOND)
+    assert slots.choose_slot(df, ["k"], "at", most_rows=1000) == 86_400 * SECOND
+    assert slots.choose_slot(df, ["k"], "at", most_rows=120) == 3600 * SECOND
+    assert slots.choose_slot(df, ["k"], "at", most_rows=0) == SECOND
+    assert slots.choose_slot(df.limit(0), ["k"], "at") == 86_400 * SECOND
 
 
 def test_rows_without_key_or_moment_are_kept(spark, rows):
@@ -118,10 +126,13 @@ def test_triggered_sync_over_several_runs(spark, tmp_path, rows):
     changes(spark, source, [(2, None, 4, "d"), (3, "e", 5, "u")])
     copy.start(jobs.read_files(spark, source, schema)).awaitTermination()
     assert rows(copy.current(), "k", "v") == [(1, "c"), (3, "e")]
-    base = copy.compact()
-    changes(spark, source, [(3, "f", 6, "u"), (1, "old", 2, "u")])
+    copy.compact()
+    assert rows(copy.current(), "k", "v") == [(1, "c"), (3, "e")]
+    changes(spark, source, [(3, "f", 6, "u"), (1, "old", 2, "u"), (2, "late", 3, "u")])
     copy.start(jobs.read_files(spark, source, schema)).awaitTermination()
-    assert rows(copy.current(base), "k", "v") == [(1, "c"), (3, "f")]
+    assert rows(copy.current(), "k", "v") == [(1, "c"), (3, "f")]
+    copy.compact()
+    assert rows(copy.current(), "k", "v") == [(1, "c"), (3, "f")]
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path, rows):
@@ -131,7 +142,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, rows):
     assert copy.current().isEmpty()
     for _ in range(2):
         copy.write_batch(batch, 0)
-    assert rows(copy.current(), "k", "v") == [(1, "b")] and copy._read("changes").count() == 1
+    assert rows(copy.current(), "k", "v") == [(1, "b")] and spark.read.parquet(f"{copy.root}/changes").count() == 1
 
 
 def test_continuous_sync(spark, tmp_path, rows):
