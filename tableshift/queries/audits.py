@@ -87,11 +87,11 @@ from customer left join (select o_custkey, count(*) as n from orders where o_ord
 def leftovers(t):
     """One expected resource per customer; it exists if the customer has open orders, and is ours if the balance is positive."""
     people = t["customer"]
-    expected = people.select(F.concat(F.lit("move-"), F.col("c_custkey").cast("string")).alias("name"), F.lit("move-lab").alias("label"))
+    expected = people.select(F.concat(F.lit("move-"), F.col("c_custkey").cast("string")).alias("name"), F.lit("mine").alias("label"))
     open_ = t["orders"].filter("o_orderpriority = '5-LOW' and o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
     found = people.join(open_, "c_custkey", "left_semi").select(
         F.concat(F.lit("move-"), F.col("c_custkey").cast("string")).alias("name"),
-        F.when(F.col("c_acctbal") > 0, "move-lab").otherwise("other").alias("label"))
+        F.when(F.col("c_acctbal") > 0, "mine").otherwise("other").alias("label"))
     return audit.leftovers(expected, found)
 
 
@@ -241,7 +241,7 @@ def stale_names(t):
 
 
 @query("""
-select 'db' || user_id % 3 as database, count_if(event_type in ('view', 'click', 'purchase')) as busy from events
+select 'db' || user_id % 3 as database, count(*) filter (where event_type in ('view', 'click', 'purchase')) as busy from events
 where user_id % 3 in (0, 1) group by 1""")
 def open_sessions(t):
     """Every event is a session in one of three databases; two of them are to be moved."""

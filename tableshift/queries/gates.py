@@ -27,16 +27,16 @@ def latest_results(t):
 
 
 @query(f"""
-select "check" % 3 as "database", count_if(status = 'pass') as n_pass, count_if(status = 'warn') as n_warn,
-       count_if(status = 'fail') as n_fail, count_if(status = 'skip') as n_skip from {_RUNS} group by 1""")
+select "check" % 3 as "database", count(*) filter (where status = 'pass') as n_pass, count(*) filter (where status = 'warn') as n_warn,
+       count(*) filter (where status = 'fail') as n_fail, count(*) filter (where status = 'skip') as n_skip from {_RUNS} group by 1""")
 def status_counts(t):
     return checks.status_counts(_runs(t).withColumn("database", F.col("check") % 3), ["database"])
 
 
 @query(f"""
 select *, case when n_fail > 0 then 'not ready' when n_warn > 0 then 'ready with notes' else 'ready' end as verdict from (
-  select "check" // 5 as "database", count_if(status = 'pass') as n_pass, count_if(status = 'warn') as n_warn,
-         count_if(status = 'fail') as n_fail, count_if(status = 'skip') as n_skip
+  select "check" // 5 as "database", count(*) filter (where status = 'pass') as n_pass, count(*) filter (where status = 'warn') as n_warn,
+         count(*) filter (where status = 'fail') as n_fail, count(*) filter (where status = 'skip') as n_skip
   from (select "check", arg_max(status, ord) as status from {_RUNS} group by 1) group by 1)""")
 def verdict(t):
     """The verdict of each group of five checks, from their newest runs."""

@@ -140,7 +140,7 @@ _LINES = f"""(select database, size || '; 1259 ' || kind || ' ' || schema || ' '
 select database, case when regexp_matches(line, '{_PLATFORM}') then ';' || line else line end as line,
        regexp_matches(line, '{_PLATFORM}') as skipped,
        count(*) over (partition by database) as entries,
-       count_if(regexp_matches(line, '{_PLATFORM}')) over (partition by database) as skipped_entries
+       count(*) filter (where regexp_matches(line, '{_PLATFORM}')) over (partition by database) as skipped_entries
 from {_LINES}""")
 def toc_filter(t):
     """Platform entries of each listing commented out, with the counts per database."""
@@ -218,8 +218,8 @@ def collision_report(t):
 
 
 @query(f"""
-select database, count_if(not regexp_matches("table", 'ring|^blue_')) as tables,
-       count_if(regexp_matches("table", 'ring|^blue_')) as excluded,
+select database, count(*) filter (where not regexp_matches("table", 'ring|^blue_')) as tables,
+       count(*) filter (where regexp_matches("table", 'ring|^blue_')) as excluded,
        cast(coalesce(sum(case when not regexp_matches("table", 'ring|^blue_') then size end), 0) as bigint) as size,
        database not in (select p_brand from part group by 1 having max(p_retailprice) > 1090) as pending
 from {q.LISTING} group by 1""")

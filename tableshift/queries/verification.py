@@ -216,9 +216,9 @@ _NEW_TEXT = "case when lang = 'en' then '-- copied' || chr(10) || text || chr(10
 @query(f"""
 with old as ({_lines('text')}), new as ({_lines(_NEW_TEXT)})
 select coalesce(old.file, new.file) as file, count(old.line) as lines_old, count(new.line) as lines_new,
-       count_if(old.line is distinct from new.line) as differing,
+       count(*) filter (where old.line is distinct from new.line) as differing,
        min(case when old.line is distinct from new.line then coalesce(old.position, new.position) end) as first_difference,
-       count_if(old.line is distinct from new.line) = 0 as identical
+       count(*) filter (where old.line is distinct from new.line) = 0 as identical
 from old full join new on old.file = new.file and old.position = new.position group by 1""")
 def schema_text_diff(t):
     """Every document is taken as a schema file; English ones get a comment, which is ignored, and one more line."""
@@ -254,11 +254,11 @@ _BROKEN = """(
     *_null_rule("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
     _dup_rule("lineitem", "lineitem", "primary_key", ["l_orderkey", "l_linenumber"]),
     *_null_rule("orders", _BROKEN, ["o_orderkey"]),
-    f"select 'orders', 'check', 'price in range', count_if(o_totalprice not between 1000 and 450000) from {_BROKEN}",
+    f"select 'orders', 'check', 'price in range', count(*) filter (where o_totalprice not between 1000 and 450000) from {_BROKEN}",
     _dup_rule("orders", _BROKEN, "primary_key", ["o_orderkey"]),
     f"select 'orders', 'foreign_key', 'o_custkey->customer', count(*) from {_BROKEN} "
     "where o_custkey is not null and o_custkey not in (select c_custkey from customer)",
-    "select 'part', 'check', 'percent', count_if(p_size * 2 not between 1 and 90) from part",
+    "select 'part', 'check', 'percent', count(*) filter (where p_size * 2 not between 1 and 90) from part",
 ]))
 def constraint_report(t):
     o, key = t["orders"], F.col("o_orderkey")

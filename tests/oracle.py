@@ -42,3 +42,13 @@ def compare(df, con, sql: str) -> str | None:
         if a != b or [type(x) for x in a] != [type(x) for x in b]:
             return f"{a} against {b}"
     return None if got else "both empty"
+
+
+# Types that hold the same values in both engines.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, con, sql: str) -> dict:
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    sql_types = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    return {c: (t, sql_types.get(c)) for c, t in spark_types.items() if t != sql_types.get(c)}

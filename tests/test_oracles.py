@@ -16,7 +16,9 @@ def con():
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_matches_sql(spark, con, name):
     # On the smallest tables a few reports are rightly empty.
-    assert oracle.compare(queries()[name](spark, FOLDER), con, oracle_sql()[name]) in (None, "both empty")
+    df, sql = queries()[name](spark, FOLDER), oracle_sql()[name]
+    assert oracle.compare(df, con, sql) in (None, "both empty")
+    assert oracle.type_differences(df, con, sql) == {}
 
 
 def test_every_query_has_sql():
