@@ -34,8 +34,12 @@ def sized_for(total_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, s
     """
     partitions = max(200, -(-total_bytes // partition_bytes))
     large = total_bytes > 1 << 40
-    return {"spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
-            "spark.sql.files.maxPartitionBytes": str((256 if large else 128) << 20)}
+    settings = {"spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+                "spark.sql.files.maxPartitionBytes": str((256 if large else 128) << 20)}
+    if large:  # streams keep their state on disk, not in the executors' heap
+        settings["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return settings
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,12 +6,14 @@ failed check publishes nothing. One writer at a time: a second one that reaches
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableshift.functions.text import any_of
 from tableshift.functions.times import DAY, SECOND
@@ -74,7 +76,7 @@ class VersionStore:
             if expect is not None and expect.get(table) != (count, digest):
                 raise NotPublished(f"{table} is not what was expected")
         if validate is not None:
-            problems = validate({r[0]: self.spark.read.parquet(r[4]) for r in rows})
+            problems = validate({r[0]: self._open(r[3], r[4]) for r in rows})
             if not problems.isEmpty():
                 raise NotPublished(f"version {version} failed validation and was not published")
         entries = [(version, committed_at, tag, *r) for r in rows]
@@ -95,7 +97,7 @@ class VersionStore:
         # Overwrite, since leftovers of a version that was never published may be there.
         df.observe(seen, *digest_columns(df)).write.mode("overwrite").parquet(path)
         sent = seen.get
-        back = bag_fingerprint(self.spark.read.parquet(path)).first()
+        back = bag_fingerprint(self.spark.read.schema(df.schema).parquet(path)).first()
         if (sent["rows"], sent["digest"]) != (back["rows"], back["digest"]):
             raise NotPublished(f"{table} differs after writing")
         return table, back["rows"], back["digest"], df.schema.json(), path
@@ -108,11 +110,15 @@ class VersionStore:
         found = [e for e in self._entries(version) if e["table"] == table] if version is not None else []
         if not found:
             raise NothingThere(f"{table} is not in version {version}")
-        return self.spark.read.parquet(found[0]["path"])
+        return self._open(found[0]["columns"], found[0]["path"])
+
+    def _open(self, columns: str, path: str) -> DataFrame:
+        """A table by the schema its manifest row declares, so that no file is opened to find it out."""
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(columns))).parquet(path)
 
     def tables(self, version: int | None = None) -> dict[str, DataFrame]:
         version = self.latest_version() if version is None else version
-        return {e["table"]: self.spark.read.parquet(e["path"]) for e in self._entries(version)} if version else {}
+        return {e["table"]: self._open(e["columns"], e["path"]) for e in self._entries(version)} if version else {}
 
     def version_as_of(self, moment: int, whole_minute_step: bool = False) -> int:
         """The newest version committed at or before the moment (microseconds)."""
