@@ -34,8 +34,8 @@ def reach(seeds: DataFrame, edges: DataFrame, node: str, labels: Sequence[str] =
 def lineage(tree: DataFrame, node: str, parent: str, separator: str = "/", max_depth: int = 4096) -> DataFrame:
     """(node, root, depth, path) of every node of a forest of (node, parent), root first in the path.
 
-    Each round a node's known stretch of ancestors doubles, so a chain of a thousand levels takes ten rounds. A loop, or
-    a parent that does not exist, raises.
+    Each round a node's known stretch of ancestors doubles, so a chain of a thousand levels takes ten rounds. A loop, a
+    tree deeper than ``max_depth``, or a parent that does not exist raises; nothing is left out.
     """
     name = F.col(node).cast("string")
     paths = tree.select(F.col(node).alias("node"), F.col(parent).alias("up"), F.col(node).alias("top"),
@@ -44,7 +44,7 @@ def lineage(tree: DataFrame, node: str, parent: str, separator: str = "/", max_d
     reached = 1
     while not paths.filter(F.col("up").isNotNull()).isEmpty():
         if reached > max_depth:
-            raise ValueError("the branches form a loop")
+            raise ValueError(f"deeper than {max_depth} levels, or a loop")
         above = paths.select(F.col("node").alias("up"), F.col("up").alias("next_up"), F.col("top").alias("above_top"),
                              F.col("depth").alias("above_depth"), F.col("path").alias("above_path"),
                              F.lit(True).alias("known"))
