@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableshift.llm import langid
 from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.urls import judge_urls
+from tableshift.llm.warc import archive_round_trip
 
 #: (action, host, path) of the contract's rules.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -17,6 +19,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to packaged WARC archives and read back by range."""
+    return archive_round_trip(spark, read(spark, sf_dir, "pages"))
+
+
+OP1_SQL = """
+with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as hex from pages),
+g as (select hex, max(page_id) as first from p group by all),
+q as (select hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, 5 * i + 1, 5))::int >> (15 - 5 * j)) & 31) + 1, 1), '' order by i, j) as payload_digest
+    from (select distinct hex from p), range(8) a(i), range(4) b(j) group by hex)
+select page_id, strlen(body)::bigint as payload_bytes, payload_digest,
+    case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to
+from p join g using (hex) join q using (hex)
+"""
+
+
 def op3_shard_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
     placed = shard_by_size(read(spark, sf_dir, "documents"), shards=16)
@@ -56,5 +76,15 @@ m as (select page_id, host, path, rule_host || rule_path as rule, action,
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict from m where place = 1
 """
 
-QUERIES = {f.__name__: f for f in (op3_shard_by_size, op4_exact_dedup, op7_url_filter)}
-ORACLES = {"op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the documents that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    known = docs.withColumn("out", langid.held_out(F.col("doc_id")))
+    model = langid.train(known.filter("not out"), "text", "lang")
+    # The remainder is the id's own, so it goes with the row instead of a join.
+    return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op7_url_filter,
+                                 op10_language_id)}
+ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
