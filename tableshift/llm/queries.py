@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableshift.llm import langid
+from tableshift.llm.bpe import encode_documents
 from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.urls import judge_urls
@@ -57,6 +59,12 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from n
 """
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the public ranks and decoded again."""
+    return encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every page's URL."""
     rules = spark.createDataFrame(list(RULES), "action string, host string, path string")
@@ -85,6 +93,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op7_url_filter,
-                                 op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe,
+                                 op7_url_filter, op10_language_id)}
 ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
