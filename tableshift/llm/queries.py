@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tableshift.llm import langid
 from tableshift.llm.bpe import encode_documents
 from tableshift.llm.exact_dedup import exact_duplicates
+from tableshift.llm.packing import pack
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.urls import judge_urls
 from tableshift.llm.warc import archive_round_trip
@@ -84,6 +85,11 @@ m as (select page_id, host, path, rule_host || rule_path as rule, action,
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict from m where place = 1
 """
 
+def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens, each mixed like the whole."""
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from the documents that are not held out."""
     docs = read(spark, sf_dir, "documents")
@@ -94,5 +100,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe,
-                                 op7_url_filter, op10_language_id)}
+                                 op7_url_filter, op8_mixture_packing, op10_language_id)}
 ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
