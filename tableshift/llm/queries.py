@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tableshift.llm import langid
 from tableshift.llm.bpe import encode_documents
+from tableshift.llm.embeddings import near_vectors
 from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.packing import pack
 from tableshift.llm.shard import shard_by_size
@@ -90,6 +91,25 @@ def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with a cosine of at least 0.93 under one label, and their components."""
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+with recursive v as (select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, x -> x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    and list_cosine_similarity(a.e, b.e) >= 0.93),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+n as (select a, count(*) as n_links from l group by a), c as (select a, min(b) as least from r group by a)
+select vec_id, coalesce(n_links, 0) as n_links, least(vec_id, coalesce(least, vec_id)) as component_id,
+    vec_id = least(vec_id, coalesce(least, vec_id)) as kept
+from embeddings left join n on vec_id = n.a left join c on vec_id = c.a
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from the documents that are not held out."""
     docs = read(spark, sf_dir, "documents")
@@ -100,5 +120,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe,
-                                 op7_url_filter, op8_mixture_packing, op10_language_id)}
-ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL}
+                                 op7_url_filter, op8_mixture_packing, op9_near_vectors,
+                                 op10_language_id)}
+ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
