@@ -45,8 +45,9 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     hashed = cut_lineage(hashed)
     equal = (hashed.filter("resembled").groupBy("text_sha256")
              .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    alone = F.col("group_size") == 1
-    together = (hashed.filter("resembled").join(equal.filter(~alone), "text_sha256", "left"))
+    # Written, so that the join's sides are plain scans and a hot group's rows can be split over tasks.
+    equal = cut_lineage(equal.filter("group_size > 1"))
+    together = hashed.filter("resembled").join(equal, "text_sha256", "left")
     single = hashed.filter("not resembled").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("bigint")})
     both = together.unionByName(single).withColumns({
         "keep_id": F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")),

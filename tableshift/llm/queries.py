@@ -10,6 +10,7 @@ from tableshift.llm import langid
 from tableshift.llm.bpe import encode_documents
 from tableshift.llm.embeddings import near_vectors
 from tableshift.llm.exact_dedup import exact_duplicates
+from tableshift.llm.neardup import near_duplicates
 from tableshift.llm.packing import pack
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.urls import judge_urls
@@ -67,6 +68,26 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of five-word shingles are 0.85 similar, and their components."""
+    return near_duplicates(read(spark, sf_dir, "documents"), percent=85)
+
+
+OP6_SQL = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+s as (select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as set from w),
+e as (select doc_id, unnest(set) as shingle from s), n as (select doc_id, len(set) as n from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as shared from e a join e b using (shingle) where a.doc_id <> b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 85 * (x.n + y.n - shared)),
+r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+c as (select a, min(b) as least from r group by a)
+select doc_id, n as n_shingles, least(doc_id, coalesce(least, doc_id)) as component_id,
+    doc_id = least(doc_id, coalesce(least, doc_id)) as kept from n left join c on doc_id = a
+"""
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every page's URL."""
     rules = spark.createDataFrame(list(RULES), "action string, host string, path string")
@@ -97,9 +118,9 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-with recursive v as (select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
-    where label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
     and list_cosine_similarity(a.e, b.e) >= 0.93),
 r(a, b) as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
@@ -119,7 +140,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
                                  op7_url_filter, op8_mixture_packing, op9_near_vectors,
                                  op10_language_id)}
-ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
+ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
+           "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
