@@ -13,6 +13,7 @@ from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.neardup import near_duplicates
 from tableshift.llm.packing import pack
 from tableshift.llm.shard import shard_by_size
+from tableshift.llm.substrings import remove_repeats
 from tableshift.llm.urls import judge_urls
 from tableshift.llm.warc import archive_round_trip
 
@@ -42,6 +43,26 @@ from p join g using (hex) join q using (hex)
 """
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 13 words that a document with a smaller id has."""
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+p as (select doc_id, unnest(range(1, len(words) - 11)) as pos, words from w where len(words) >= 13),
+g as (select doc_id, pos, array_to_string(words[pos:pos + 12], ' ') as passage from p),
+f as (select passage, min(doc_id) as least from g group by all),
+h as (select doc_id, pos from g join f using (passage) where least < doc_id),
+r as (select distinct doc_id, pos + i as pos from h, range(13) t(i)),
+d as (select doc_id, list(pos) as gone from r group by all),
+k as (select doc_id, words, list_filter(words, lambda x, i: not list_contains(coalesce(gone, []), i)) as kept
+    from w left join d using (doc_id))
+select doc_id, len(words)::bigint as n_words, (len(words) - len(kept))::bigint as n_removed,
+    sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
+"""
+
+
 def op3_shard_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
     placed = shard_by_size(read(spark, sf_dir, "documents"), shards=16)
@@ -140,8 +161,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archives, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_warc_archives, op2_substring_dedup, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
                                  op7_url_filter, op8_mixture_packing, op9_near_vectors,
                                  op10_language_id)}
-ORACLES = {"op1_warc_archives": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
+ORACLES = {"op1_warc_archives": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
            "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
