@@ -153,3 +153,24 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, id_col
 def held_out(id_column: Column) -> Column:
     """Rows kept out of training: crc32 of the id as text is a multiple of 5. A null id is held out."""
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_column: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose text has a letter and a language of at least ``least`` probability.
+
+    Without a model every row with a letter stays.
+    """
+    if model is None:
+        return docs.filter(has_letter(F.col(text_column)))
+    names = docs.columns
+    marked = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever the names, they can't clash
+    text = f"c{names.index(text_column)}"
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages, both bounded
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, matrix = shared.value
+        for batch in batches:
+            _, sure = score(batch.column(text).cast(pa.string()).to_pylist(), languages, matrix)
+            yield batch.filter(pa.array(sure >= least))
+
+    return marked.filter(has_letter(F.col(text))).mapInArrow(run, marked.schema).toDF(*names)

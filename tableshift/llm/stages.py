@@ -1,3 +1,59 @@
-"""The stages of the corpus pipeline."""
+"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and works on all documents it is given."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tableshift.llm import langid
+from tableshift.llm.bloom import blocked_bloom, may_contain
+from tableshift.llm.exact_dedup import exact_duplicates
+from tableshift.llm.neardup import near_duplicates
+from tableshift.llm.packing import pack
+from tableshift.llm.substrings import strip_repeats
+from tableshift.session import cut_lineage
+
+
+def without(docs: DataFrame, dropped: DataFrame, filter_blocks: int = 1 << 16) -> DataFrame:
+    """The rows whose doc_id is not among ``dropped`` (doc_id), with all their columns; null ids stay.
+
+    A blocked Bloom filter passes most texts by the join, so that they are not shuffled.
+    """
+    names = docs.columns
+    marked = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever the names, they can't clash
+    key = f"c{names.index('doc_id')}"
+    ids = cut_lineage(dropped.select(F.col("doc_id").alias(key)).dropna().distinct())
+    tested = may_contain(marked, key, blocked_bloom(ids, key, filter_blocks), filter_blocks)
+    stay = tested.filter("not bloom_hit").drop("bloom_hit")
+    return stay.unionByName(tested.filter("bloom_hit").drop("bloom_hit").join(ids, key, "left_anti")).toDF(*names)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in none of the languages their labels teach, go."""
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
+    return langid.keep_identified(docs, model)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z the one with the largest id stays."""
+    return without(docs, exact_duplicates(docs).filter("not kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked at a similarity of 0.8 the one with the smallest id stays."""
+    return without(docs, near_duplicates(docs, percent=80).filter("not kept"))
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in passages of 50 words or more that a document with a smaller id has go."""
+    return strip_repeats(docs, window=50)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens, mixed like the whole."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", language), ("exact_dedup", exact), ("minhash_near_dedup", near), ("substring_dedup", passages),
+          ("packing", packed)]

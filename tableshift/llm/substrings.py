@@ -191,18 +191,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = 4, id_column
         for batch in batches:
             counts, removed, digests, texts = [], [], [], []
             for text, spans in zip(batch.column("text"), batch.column("spans")):
-                plain, spans = text.as_py(), spans.as_py()
-                words = (plain or "").encode().split()
-                counts.append(len(words))
-                if spans:
-                    gone = np.zeros(len(words) + 1, np.int64)
-                    for begin, end in np.concatenate([np.frombuffer(s, np.int32).reshape(-1, 2) for s in spans]):
-                        gone[min(begin, len(words))] += 1
-                        gone[min(end, len(words))] -= 1
-                    stay = (np.cumsum(gone)[:-1] == 0).tolist()
-                    words = [w for w, s in zip(words, stay) if s]
+                plain = text.as_py()
+                count, words = _kept(plain, spans.as_py())
                 kept = b" ".join(words)
-                removed.append(counts[-1] - len(words))
+                counts.append(count)
+                removed.append(count - len(words))
                 digests.append(hashlib.sha256(kept).hexdigest())
                 texts.append((kept.decode() if removed[-1] else plain) if with_text else None)
             arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
@@ -213,3 +206,52 @@ def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = 4, id_column
 
     return both.select("doc_id", "text", "spans").mapInArrow(
         run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept_text string" if with_text else ""))
+
+
+def _kept(text: str | None, spans: list[bytes] | None) -> tuple[int, list[bytes]]:
+    """(words of the text, those outside the spans)."""
+    words = (text or "").encode().split()
+    if not spans:
+        return len(words), words
+    gone = np.zeros(len(words) + 1, np.int64)
+    for begin, end in np.concatenate([np.frombuffer(s, np.int32).reshape(-1, 2) for s in spans]):
+        gone[min(begin, len(words))] += 1
+        gone[min(end, len(words))] -= 1
+    stay = (np.cumsum(gone)[:-1] == 0).tolist()
+    return len(words), [w for w, s in zip(words, stay) if s]
+
+
+def strip_repeats(docs: DataFrame, window: int = 50, anchor: int = 4, id_column: str = "doc_id", text_column: str = "text",
+                  length_column: str | None = "n_chars", hot: int = 20_000, shard_bytes: int = 8 << 20) -> DataFrame:
+    """The rows with all their columns, without the words that ``remove_repeats`` removes; ``length_column``, if there, follows.
+
+    Texts that lose nothing stay as they are, null included; a text that loses all its words becomes empty.
+    """
+    fields, names = docs.schema.fields, docs.columns
+    at, length_at = names.index(text_column), names.index(length_column) if length_column in names else -1
+    marked = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever the names, they can't clash
+    key, text = f"c{names.index(id_column)}", f"c{at}"
+    plain = marked.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                          F.hash(F.col(text).cast("string")).alias("text_hash"))
+    per_document = (repeated_spans(plain, window, anchor, hot, shard_bytes).groupBy("doc_id", "text_hash")
+                    .agg(F.collect_set("spans").alias("spans")))
+    both = (marked.withColumns({"doc_id": F.col(key).cast("bigint"), "text_hash": F.hash(F.col(text).cast("string"))})
+            .join(per_document, ["doc_id", "text_hash"], "left").select(*marked.columns, "spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i) for i in range(len(names))]
+            spans = batch.column(len(names))
+            if spans.null_count < len(spans):
+                texts = columns[at].to_pylist()
+                lengths = columns[length_at].to_pylist() if length_at >= 0 else []
+                for r in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)):
+                    texts[r] = b" ".join(_kept(texts[r], spans[int(r)].as_py())[1]).decode()
+                    if lengths:
+                        lengths[r] = len(texts[r])
+                columns[at] = pa.array(texts, columns[at].type)
+                if lengths:
+                    columns[length_at] = pa.array(lengths, columns[length_at].type)
+            yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(names))])
+
+    return both.mapInArrow(run, marked.schema).toDF(*[f.name for f in fields])
