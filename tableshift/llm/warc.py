@@ -123,7 +123,7 @@ def members(file: pa.NativeFile) -> dict[str, tuple[int, int, int]]:
     size = file.size()
     tail_at = max(0, size - 65_557 - 20)
     tail = file.read_at(size - tail_at, tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    end = tail.rfind(b"PK\x05\x06", 0, max(4, len(tail) - 18))  # 22 bytes at least
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)  # the signature may also stand in the comment
     if end < 0:
