@@ -41,26 +41,59 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.most, self.known, self.older = most, {}, {}
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = text.encode().split()  # bytes are split at ASCII blanks only
-        try:
-            known = self.known
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn(set(words))
-            return b"".join([self.known[w] for w in words])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        words = [t.encode().split() for t in texts]  # bytes are split at ASCII blanks only
+        self._learn(set().union(*words))
+        known = self.known.__getitem__
+        return [b"".join(map(known, w)) for w in words]
 
     def _learn(self, words: set[bytes]) -> None:
         if len(self.known) > self.most:
             self.older, self.known = self.known, {}
-        words = [w for w in words if w not in self.known]
-        self.known.update((w, self.older[w]) for w in words if w in self.older)
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.library.encode_batch([w.decode() for w in new], add_special_tokens=False)):
+        known, older = self.known, self.older
+        new = words - known.keys()
+        for w in new & older.keys():
+            known[w] = older[w]
+        # A-Z and a-z have equal ids, and a last full stop or comma after a letter or digit is a piece of its own.
+        stems = {w: self._stem(w) for w in new if w not in known}
+        missing = {stem for stem, _ in stems.values()} | {end for _, end in stems.values() if end}
+        missing -= known.keys()
+        for x in missing & older.keys():
+            known[x] = older[x]
+        self._ask([x for x in missing if x not in known])
+        for w, (stem, end) in stems.items():
+            known[w] = known[stem] + known[end] if end else known[stem]
+
+    def _ask(self, words: list[bytes]) -> None:
+        """Encode new words. Words of letters only are one piece each: many go as one text, cut at the ids that end a piece."""
+        letters, others = [], []
+        for w in words:
+            text = w.decode()
+            (letters if text.isalpha() else others).append((w, text))
+        for k in range(0, len(letters), 4096):
+            some = letters[k:k + 4096]
+            ids = np.array(self.library.encode(" ".join([t for _, t in some]), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                self.known.update((w, raw[a:b]) for (w, _), a, b in zip(some, at, at[1:]))
+            else:
+                others += some
+        for (w, _), e in zip(others, self.library.encode_batch_fast([t for _, t in others], add_special_tokens=False)):
             self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
+    @staticmethod
+    def _stem(word: bytes) -> tuple[bytes, bytes]:
+        word = word.lower()  # of bytes: A-Z only
+        if word[-1] in b".," and word[-2:-1].isalnum():
+            return word[:-1], word[-1:]
+        return word, b""
+
 
 def tokenizer(path: str) -> WordTokenizer:
     """One per Python worker."""
@@ -94,7 +127,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id"
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                ids = [own.encode(t.as_py() or "") + end for t in some.column("text")]
+                ids = [x + end for x in own.encode([t or "" for t in some.column("text").to_pylist()])]
                 counts, at = [len(x) // 4 for x in ids], []
                 for q, n in zip(some.column("queue").to_pylist(), counts):
                     at.append(filled.get(q, 0))
