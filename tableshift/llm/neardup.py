@@ -6,10 +6,12 @@ each chunk gives four keys, each with one symbol left out, and all pairs within
 least for which a pair right at the similarity threshold is within the distance but for ``miss`` of all cases.
 
 Pairs that meet are compared by whole signatures first, and links are confirmed on full shingle sets. Equal sets are one class
-from the start. A bucket of any size is compared by pairs of blocks. Of a group of copies not all pairs are
-sent: each round sends a member's nearest partners outside its component, confirmed links merge components, and only
-buckets in which close signatures still lie in different components come back; the last round sends all that is left, so no
-link between components is lost.
+from the start. A bucket of any size is compared by pairs of blocks. Pairs of a group of copies are not sent one by one:
+
+1. Each member of a bucket sends its nearest partner. Confirmed, these links join nearly all copies to their components.
+2. Where close signatures still lie in different components, their documents form clusters of signatures. A cluster of any
+   size is cut into blocks of bounded size, and each pair of blocks counts the shared shingles of all its pairs at once, on
+   full sets. So every pair within the distance is decided, and only the links that join components are sent.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tableshift.llm.words import chunks, mix, runs
 from tableshift.session import cut_lineage
 
 WIDTH = 4  # symbols in a chunk
-ROUNDS = (1, 16, None)  # partners that a member sends; None: all
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 19  # documents and shingles of a cluster's block, about
 
 
 def chunks_needed(similarity: float, miss: float = 1e-7) -> int:
@@ -126,54 +128,71 @@ def _first_key(differ: np.ndarray) -> np.ndarray:
     return np.where(near.any(axis=1), WIDTH * chunk + place, -1)
 
 
-def _compare(symbols: int, distance: int, percent: int, most: int | None):
-    """Compare the rows of each (key, i, j), which come sorted: rows (key, i, j, a, b), b null for members of a bucket
-    that has more close pairs than it sent."""
-    names = ["key", "i", "j", "a", "b"]
-
-    def whole(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
-        group = rows["group"]
-        left = np.arange(len(group) - 1)
-        found = []
-        for shift in range(1, len(group)):
-            left = left[left + shift < len(group)]
-            left = left[group[left] == group[left + shift]]
-            if not len(left):
-                break
-            for k in range(0, len(left), 65_536):
-                a = left[k:k + 65_536]
-                b = a + shift
-                small, large = np.minimum(rows["n"][a], rows["n"][b]), np.maximum(rows["n"][a], rows["n"][b])
-                good = (100 * small >= percent * large) & (rows["component"][a] != rows["component"][b])
-                good &= (rows["i"][a] == rows["j"][a]) | (rows["block"][a] != rows["block"][b])
-                a, b = a[good], b[good]
-                differ = rows["signature"][a] != rows["signature"][b]
-                apart = differ.sum(axis=1)
-                close = apart <= distance
-                a, b, apart = a[close], b[close], apart[close]
-                mine = _first_key(differ[close]) == rows["q"][a]
-                found.append((a[mine], b[mine], apart[mine]))
-        if not found:
-            return None
-        a, b, apart = map(np.concatenate, zip(*found))
-        if not len(a):
-            return None
-        swap = rows["id"][a] < rows["id"][b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)  # a has the larger id
-        order = np.lexsort((rows["id"][b], apart, a))
-        a, b = a[order], b[order]
-        first = np.concatenate(([True], a[1:] != a[:-1]))
-        rank = np.arange(len(a)) - np.maximum.accumulate(np.where(first, np.arange(len(a)), 0))
-        sent = rank < most if most else np.ones(len(a), bool)
-        open_groups = np.unique(group[a[~sent]])
-        members = np.unique(np.concatenate((a, b)))
-        members = members[np.isin(group[members], open_groups)]
-        at = np.concatenate((a[sent], members))
-        partner = pa.array(np.concatenate((rows["id"][b[sent]], np.zeros(len(members), np.int64))),
-                           mask=np.arange(len(at)) >= sent.sum())
-        return pa.RecordBatch.from_arrays([pa.array(rows["key"][at]), pa.array(rows["i"][at]), pa.array(rows["j"][at]),
-                                           pa.array(rows["id"][at]), partner], names)
+def _close_pairs(rows: dict[str, np.ndarray], distance: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, symbols apart) of the close pairs in different components that meet first under the rows' own keys; ``a`` has the larger id."""
+    group = rows["group"]
+    left, found = np.arange(max(len(group) - 1, 0)), []
+    for shift in range(1, len(group)):
+        left = left[left + shift < len(group)]
+        left = left[group[left] == group[left + shift]]
+        if not len(left):
+            break
+        for k in range(0, len(left), 65_536):
+            a = left[k:k + 65_536]
+            b = a + shift
+            small, large = np.minimum(rows["n"][a], rows["n"][b]), np.maximum(rows["n"][a], rows["n"][b])
+            good = (100 * small >= percent * large) & (rows["component"][a] != rows["component"][b])
+            good &= (rows["i"][a] == rows["j"][a]) | (rows["block"][a] != rows["block"][b])
+            a, b = a[good], b[good]
+            differ = rows["signature"][a] != rows["signature"][b]
+            apart = differ.sum(axis=1)
+            close = apart <= distance
+            a, b, apart = a[close], b[close], apart[close]
+            mine = _first_key(differ[close]) == rows["q"][a]
+            found.append((a[mine], b[mine], apart[mine]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    a, b, apart = map(np.concatenate, zip(*found))
+    swap = rows["id"][a] < rows["id"][b]
+    return np.where(swap, b, a), np.where(swap, a, b), apart
+
+
+def _nearest(rows: dict[str, np.ndarray], distance: int, percent: int) -> pa.RecordBatch:
+    """(key, i, j, a, b): each member's nearest partner; with null ``b``, the members of buckets that have more pairs."""
+    a, b, apart = _close_pairs(rows, distance, percent)
+    order = np.lexsort((rows["id"][b], apart, a))
+    a, b = a[order], b[order]
+    sent = np.concatenate(([True], a[1:] != a[:-1]))[:len(a)]
+    members = np.unique(np.concatenate((a, b)))
+    members = members[np.isin(rows["group"][members], rows["group"][a[~sent]])]
+    at = np.concatenate((a[sent], members))
+    partner = pa.array(np.concatenate((rows["id"][b[sent]], np.zeros(len(members), np.int64))), mask=np.arange(len(at)) >= sent.sum())
+    return pa.RecordBatch.from_arrays([pa.array(rows[c][at]) for c in ("key", "i", "j", "id")] + [partner], ["key", "i", "j", "a", "b"])
+
+
+def _stars(rows: dict[str, np.ndarray], distance: int, percent: int) -> pa.RecordBatch:
+    """(a, b): links that join the close pairs of each bucket, at most one per member."""
+    a, b, _ = _close_pairs(rows, distance, percent)
+    least = spread(a, b, rows["id"])
+    at = np.flatnonzero(least != rows["id"])
+    return pa.RecordBatch.from_arrays([pa.array(rows["id"][at]), pa.array(least[at])], ["a", "b"])
+
+
+def spread(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The least label that each place reaches along the pairs."""
+    label = label.copy()
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        if (new == label).all():
+            return label
+        label = new
+
 
+def _by_bucket(symbols: int, decide):
+    """Apply ``decide`` to whole (key, i, j) groups of rows, which come sorted; many small groups at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, np.ndarray] | None = None
         for batch in batches:
@@ -187,18 +206,54 @@ def _compare(symbols: int, distance: int, percent: int, most: int | None):
             rows["group"] = np.concatenate(([0], np.cumsum(change)))
             last = int(np.searchsorted(rows["group"], rows["group"][-1]))  # the last group may go on in the next batch
             if last:
-                out = whole({c: v[:last] for c, v in rows.items()})
-                if out is not None:
-                    yield out
+                yield decide({c: v[:last] for c, v in rows.items()})
             kept = {c: v[last:] for c, v in rows.items() if c != "group"}
         if kept is not None:
-            out = whole({**kept, "group": np.zeros(len(kept["key"]), np.int64)})
-            if out is not None:
-                yield out
+            yield decide({**kept, "group": np.zeros(len(kept["key"]), np.int64)})
 
     return run
 
 
+def _shared_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many shingles each left set shares with each right set, by products of 0/1 matrices over the shingles of both sides."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate(x) for x in (left, right)]
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    places = []
+    for values, row in zip(flat, rows):
+        at = np.searchsorted(both, values)
+        at[at == len(both)] = 0
+        known = both[at] == values if len(both) else np.zeros(len(values), bool)
+        order = np.argsort(at[known], kind="stable")
+        places.append((at[known][order], row[known][order]))
+    for k in range(0, len(both), width):
+        dense = []
+        for (at, row), side in zip(places, (left, right)):
+            a, b = np.searchsorted(at, (k, k + width))
+            matrix = np.zeros((len(side), width), np.float32)
+            matrix[row[a:b], at[a:b] - k] = 1
+            dense.append(matrix)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _decide_blocks(key: tuple, table: pa.Table, percent: int) -> pa.Table:
+    """One pair of a cluster's blocks: (a, b), links that join what is linked here, at most one per document."""
+    i, j = key[1].as_py(), key[2].as_py()
+    ids, block, component = (table.column(c).to_numpy() for c in ("id", "block", "component"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+    x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    n = np.array([len(s) for s in sets])
+    shared = _shared_shingles([sets[r] for r in x], [sets[r] for r in y]).astype(np.int64) if len(x) and len(y) else np.zeros((len(x), len(y)), np.int64)
+    near = 100 * shared >= percent * (n[x][:, None] + n[y][None, :] - shared)
+    near &= component[x][:, None] != component[y][None, :]
+    a, b = np.nonzero(near)
+    least = spread(x[a], y[b], ids)
+    at = np.flatnonzero(least != ids)
+    return pa.table({"a": pa.array(ids[at]), "b": pa.array(least[at])})
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, width: int, filter_blocks: int = 1 << 16) -> DataFrame:
     """(id, shingles) of the wanted documents. A blocked Bloom filter of the ids holds most other texts back from the join."""
     possible = may_contain(docs, "doc_id", blocked_bloom(wanted, "id", filter_blocks), filter_blocks).filter("bloom_hit")
@@ -255,33 +310,43 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
     sizes = cut_lineage(narrow.groupBy("key").count().filter("count > 1")
                         .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
     met = cut_lineage(narrow.join(sizes, "key"))
-    links, tested, unresolved = None, None, None
-    merged = classes.select("id", F.col("id").alias("component"))
-    for most in ROUNDS:
-        rows = (met.join(classes.select("id", "n", "signature"), "id").join(merged, "id")
+
+    def buckets(component: DataFrame) -> DataFrame:
+        return (met.join(classes.select("id", "n", "signature"), "id").join(component, "id")
                 .withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
                 .select("key", "i", "j", "q", "block", "id", "n", "component", "signature"))
-        if unresolved is not None:
-            rows = rows.join(unresolved, ["key", "i", "j"], "left_semi")
-        found = cut_lineage(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
-            _compare(symbols, distance, percent, most), "key bigint, i int, j int, a bigint, b bigint"))
-        pairs = found.filter("b is not null").select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if not pairs.isEmpty():
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            good = _confirmed(pairs, docs, width, percent)
-            links = good if links is None else cut_lineage(links.unionByName(good))
-            reached = components(links).withColumnRenamed("node", "id")
-            merged = cut_lineage(classes.select("id").join(reached, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
-        waiting = found.filter("b is null").select("key", "i", "j", F.col("a").alias("id"))
-        unresolved = cut_lineage(waiting.join(merged, "id").groupBy("key", "i", "j").agg(
-            F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key", "i", "j"))
-        if unresolved.isEmpty():
-            break
+
+    def decided(rows: DataFrame, decide, schema: str) -> DataFrame:
+        return cut_lineage(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+            _by_bucket(symbols, lambda group: decide(group, distance, percent)), schema))
+
+    def joined(links: DataFrame) -> DataFrame:
+        return cut_lineage(classes.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
+                           .select("id", F.coalesce("component", "id").alias("component")))
+
+    own = classes.select("id", F.col("id").alias("component"))
+    found = decided(buckets(own), _nearest, "key bigint, i int, j int, a bigint, b bigint")
+    links = _confirmed(cut_lineage(found.filter("b is not null").select("a", "b").distinct()), docs, width, percent)
+    merged = joined(links)
+    waiting = found.filter("b is null").select("key", "i", "j", F.col("a").alias("id"))
+    unresolved = cut_lineage(waiting.join(merged, "id").groupBy("key", "i", "j").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key", "i", "j"))
+    if not unresolved.isEmpty():
+        stars = decided(buckets(merged).join(unresolved, ["key", "i", "j"], "left_semi"), _stars, "a bigint, b bigint")
+        clusters = cut_lineage(components(stars).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
+                               .join(merged, "id").join(classes.select("id", "n"), "id"))
+        parts = cut_lineage(clusters.groupBy("cluster").agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+        pairs = (clusters.join(_sets(docs, clusters.select("id"), width), "id").join(parts, "cluster")
+                 .withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "shingles"))
+        more = cut_lineage(pairs.groupBy("cluster", "i", "j").applyInArrow(
+            lambda key, table: _decide_blocks(key, table, percent), "a bigint, b bigint"))
+        if not more.isEmpty():
+            merged = joined(links.unionByName(more))
     known = cut_lineage(classes.select("set_key", "id").join(merged, "id").select("set_key", "component"))
     in_class = linkable.join(known, "set_key", "left").select("doc_id", "n", "component")
     alone = profile.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component"))

@@ -8,6 +8,7 @@ from tableshift.llm.components import components
 from tableshift.llm.embeddings import near_vectors, plan_tables
 from tableshift.llm.exact_dedup import LOWER, UPPER
 from tableshift.llm.fm_index import FmIndex
+from tableshift.llm import neardup
 from tableshift.llm.neardup import chunks_needed, keys_of, near_duplicates, signatures
 from tableshift.llm.substrings import remove_repeats, strip_repeats
 from tests.llm.conftest import words
@@ -62,16 +63,24 @@ def copies(rng, count, changes):
     return out
 
 
-@pytest.mark.parametrize("percent,block", [(85, 512), (80, 16)])
-def test_near_duplicates_against_brute_force(docs_of, odd_rows, percent, block):
+@pytest.mark.parametrize("percent,block,sets", [(85, 512, 256), (80, 16, 8)])
+def test_near_duplicates_against_brute_force(docs_of, odd_rows, percent, block, sets, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SETS", sets)
     rng = random.Random(percent)
-    texts = [t for _ in range(6) for t in copies(rng, 12, 6)] + copies(rng, 60, 5) + [words(rng, 80) for _ in range(40)] + ["a b", "A  b", "c d e"]
+    texts = [t for _ in range(6) for t in copies(rng, 12, 6)] + copies(rng, 60, 5) + copies(rng, 60, 9) + [words(rng, 80) for _ in range(40)] + ["a b", "A  b", "c d e"]
     rng.shuffle(texts)
     rows = [*odd_rows, *[(100 + i, t) for i, t in enumerate(texts)]]
     got = sorted((tuple(r) for r in near_duplicates(docs_of(rows), percent=percent, block=block).collect()), key=repr)
     assert got == near_brute(rows, percent)
 
 
+def test_shared_shingles():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(0, 90))).astype(np.uint64) for _ in range(40)]
+    shared = neardup._shared_shingles(sets[:25], sets[25:], width=16)
+    assert shared.tolist() == [[len(np.intersect1d(a, b)) for b in sets[25:]] for a in sets[:25]]
+
+
 def test_near_duplicates_of_nothing(docs_of):
     assert near_duplicates(docs_of([])).collect() == []
 
@@ -96,7 +105,7 @@ def test_fm_index_against_scanning():
     ends = np.array([e for e in range(7, len(text)) if (text[e - 7:e] > 0).all()])
     matched, low, high = index.intervals(text, ends, 7)
     for e, m, a, b in zip(ends, matched, low, high):
-        places = [i for i in range(len(text)) if (text[i:i + m] == text[e - m:e]).all() and i + m <= len(text)]
+        places = [i for i in range(len(text) - m + 1) if (text[i:i + m] == text[e - m:e]).all()]
         assert sorted(index.order[a:b].tolist()) == places and (m == 7 or len(places) == 1)
 
 
