@@ -3,8 +3,9 @@
 A row's text lists its columns in order, joined by ``|``. NULL is written ``\\N``, which no value can look like, because
 ``\\`` and ``|`` inside strings are escaped; so NULL is not the empty string, and shifted text cannot collide.
 
-Doubles are written as a whole number of units of ``10**-scale``, which other SQL engines reproduce. ``exact=True``
-writes the shortest text that identifies the double instead (for checks where both sides are read by Spark).
+Doubles are written as the shortest text that identifies them, one form for all magnitudes; -0.0 is 0.0 and every NaN is
+``NaN``. ``exact=False`` writes a whole number of units of ``10**-scale`` instead, which other SQL engines reproduce but
+which does not see smaller changes; it is for checks against such an engine and has to be asked for.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def micros(column: Column, data_type: T.DataType, utc_session: bool) -> Column:
 
 
 def _number_text(column: Column, scale: int, exact: bool) -> Column:
-    shortest = column.cast("string")
+    shortest = (column + F.lit(0.0)).cast("string")  # the sum turns -0.0 into 0.0
     if exact:
         return shortest
     units = 10.0**scale
@@ -44,7 +45,7 @@ def _escaped(column: Column, nested: bool) -> Column:
     return F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
 
 
-def value_text(column: Column, data_type: T.DataType, *, scale: int = 6, exact: bool = False,
+def value_text(column: Column, data_type: T.DataType, *, scale: int = 6, exact: bool = True,
                utc_session: bool = False, nested: bool = False) -> Column:
     """Text of a value; NULL stays NULL."""
     options = {"scale": scale, "exact": exact, "utc_session": utc_session, "nested": True}
@@ -79,8 +80,8 @@ def is_utc(df: DataFrame) -> bool:
 
 
 def row_text(df: DataFrame, columns: Sequence[str] | None = None, *, scale: int | dict[str, int] = 6,
-             exact: bool = False) -> Column:
-    """Canonical text over ``columns`` (all of them by default). ``scale`` may be set per column."""
+             exact: bool = True) -> Column:
+    """Canonical text over ``columns`` (all of them by default). ``scale`` may be set per column and needs ``exact=False``."""
     utc = is_utc(df)
     cells = []
     for name in columns or df.columns:
@@ -94,14 +95,16 @@ def row_md5(df: DataFrame, columns: Sequence[str] | None = None, **options) -> C
     return F.md5(row_text(df, columns, **options))
 
 
-def bag_digest(md5_hex: Column, part: int = 0) -> Column:
-    """Order-independent digest of a bag of rows: the sum of 60 bits of each row's md5.
+def bag_digest(md5_hex: Column) -> Column:
+    """Order-independent digest of a bag of rows: two sums, each of 60 other bits of every row's md5.
 
-    Duplicates count, row order does not, and partial sums combine, so each task sends one small row. ``part`` 0 and 1
-    are independent slices. Three whole-number sums of 20 bits stay exact to 8 * 10**12 rows and, past that, raise
-    under ANSI rules instead of wrapping; they avoid a wide decimal per row.
+    Duplicates count, row order does not, and partial sums combine, so each task sends one small row. Whole-number sums
+    of 15 bits stay exact to 2 * 10**14 rows and, past that, raise under ANSI rules instead of wrapping; they avoid a
+    wide decimal per row.
     """
-    bits = F.conv(F.substr(md5_hex, F.lit(1 + 15 * part), F.lit(15)), 16, 10).cast("bigint")
-    low, middle, high = [F.coalesce(F.sum(F.shiftright(bits, shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0))
-                         .cast("decimal(20,0)") for shift in (0, 20, 40)]
-    return (low + middle * F.lit(2**20) + high * F.lit(2**40)).cast("decimal(38,0)").cast("string")
+    def total(part: int) -> Column:
+        bits = F.conv(F.substr(md5_hex, F.lit(1 + 15 * part), F.lit(15)), 16, 10).cast("bigint")
+        sums = [F.coalesce(F.sum(F.shiftright(bits, shift).bitwiseAND(F.lit(0x7FFF))), F.lit(0)).cast("decimal(20,0)")
+                * F.lit(2**shift).cast("decimal(15,0)") for shift in (0, 15, 30, 45)]
+        return sum(sums[1:], sums[0]).cast("decimal(38,0)").cast("string")
+    return F.concat_ws(":", total(0), total(1))

@@ -14,8 +14,8 @@ OPEN_STATES = ("active", "idle in transaction", "idle in transaction (aborted)")
 
 
 def ownership(tables: DataFrame, roles: DataFrame) -> DataFrame:
-    """(database, table, owner): tables with owner ids met with the role names."""
-    return tables.join(roles, "owner_id").select("database", "table", "owner")
+    """(database, table, owner): every table with the name of its owner, null if no role has its owner id."""
+    return tables.join(roles, "owner_id", "left").select("database", "table", "owner")
 
 
 def access_report(tables: DataFrame, direct: DataFrame, default: DataFrame, reader: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,6 @@ from tableshift.sources.sides import union_all
 STATUSES = ("pass", "warn", "fail", "skip")
 DETAIL_LIMIT = 500
 RESULT_SCHEMA = "check string, status string, detail string, fix string, seconds double"
-REPORT_SCHEMA = "verdict string, results array<struct<check: string, status: string, detail: string, fix: string>>"
 
 
 def records(results: DataFrame) -> DataFrame:
@@ -91,14 +92,55 @@ def read_report_lines(documents: DataFrame, column: str = "document") -> DataFra
     return documents.select(parsed.alias("r")).select("r.*")
 
 
-def report_document(spark, results: DataFrame, most: int = 1000) -> str:
-    """The verdict and every result as one JSON text, for a run's own short list of checks.
+def report_documents(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(…by, document): per group, the verdict and every result as one JSON text, made on the executors.
 
-    Longer lists are refused rather than cut; write ``report_lines`` instead.
+    A document holds all results of its group; group by run or database for long lists.
     """
-    rows = results.select("check", "status", "detail", "fix").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} results; use report_lines")
-    final = verdict(results).first()["verdict"]
-    one = spark.createDataFrame([(final, [tuple(r) for r in rows])], REPORT_SCHEMA)
-    return one.select(F.to_json(F.struct("verdict", "results"), {"ignoreNullFields": "false"})).first()[0]
+    final = verdict(results, by).select(*by, "verdict")
+    row = F.struct("check", "status", "detail", "fix")
+    listed = results.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("results"))
+    joined = final.join(listed, list(by), "left") if by else final.crossJoin(listed)  # without groups, one row each
+    return joined.select(*by, F.to_json(F.struct("verdict", "results"), {"ignoreNullFields": "false"}).alias("document"))
+
+
+@dataclass(frozen=True)
+class Check:
+    """A named check. ``body`` gives a one-row frame (status, detail); ``fix`` says what helps; ``needs`` must have passed."""
+
+    name: str
+    body: Callable[[], DataFrame]
+    fix: str = ""
+    needs: Sequence[str] = ()
+
+
+def run_checks(spark, checks: Sequence[Check], earlier: DataFrame | None = None) -> DataFrame:
+    """(check, status, detail, fix, seconds): run a short list of checks in order of their needs.
+
+    A check with a need that did not pass, or that is unknown or in a loop, is skipped and its body is not run. A body that
+    raises, or gives no known status, fails. ``earlier`` results stay unless their check ran again.
+    """
+    by_name, done, order = {c.name: c for c in checks}, {}, []
+    waiting = list(checks)
+    while waiting:
+        able = [c for c in waiting if all(n in done or n not in by_name for n in c.needs)]
+        for c in able or waiting:
+            unmet = sorted(n for n in c.needs if n not in done or done[n][1] != "pass")
+            started = time.perf_counter()
+            if unmet:
+                status, detail = "skip", f"needs: {', '.join(unmet)}"
+            else:
+                try:
+                    found = c.body().select("status", "detail").first()
+                    status, detail = (found["status"], found["detail"]) if found else ("fail", "no result")
+                    if status not in STATUSES:
+                        status, detail = "fail", f"unknown status {status}"
+                except Exception as e:  # a check that breaks is a failed check
+                    status, detail = "fail", f"{type(e).__name__}: {e}"
+            done[c.name] = (c.name, status, detail, c.fix, time.perf_counter() - started)
+            order.append(c.name)
+        waiting = [c for c in waiting if c.name not in done]
+    fresh = records(spark.createDataFrame([done[n] for n in order], RESULT_SCHEMA))
+    if earlier is None:
+        return fresh
+    return earlier.join(fresh.select("check"), "check", "left_anti").select(*fresh.columns).unionByName(fresh)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableshift.operators.constraints import Rules
 from tableshift.operators.digest import bucket_fingerprints, fingerprint
 from tableshift.sources.sides import Side, union_all
 
@@ -39,9 +40,10 @@ def watermark(df: DataFrame, id_column: str) -> DataFrame:
 def watermark_compare(old: Mapping[str, tuple[DataFrame, str]], new: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """(table, newest_old, rows_old, newest_new, rows_new, matches): the pair must be equal on both sides."""
     def marks(side, suffix):
-        return union_all(watermark(df, key).select(F.lit(name).alias("table"), F.col("newest").alias(f"newest_{suffix}"),
+        return union_all([watermark(df, key).select(F.lit(name).alias("table"), F.col("newest").alias(f"newest_{suffix}"),
                                                    F.col("rows").alias(f"rows_{suffix}"))
-                         for name, (df, key) in sorted(side.items()))
+                          for name, (df, key) in sorted(side.items())],
+                         f"table string, newest_{suffix} bigint, rows_{suffix} bigint")
     joined = marks(old, "old").join(marks(new, "new"), "table", "full")
     return joined.withColumn("matches", F.col("newest_old").eqNullSafe(F.col("newest_new"))
                              & F.col("rows_old").eqNullSafe(F.col("rows_new")))
@@ -67,26 +69,63 @@ def all_true(condition: Column, strict: bool = True) -> Column:
     return F.coalesce(F.bool_and(F.coalesce(condition, F.lit(False))), F.lit(not strict))
 
 
-def schema_rows(side: Mapping[str, DataFrame], profile: bool = True) -> DataFrame:
+SCHEMA_ROWS = "table string, position int, column string, type string, nulls bigint"
+
+
+CELLS = "array<struct<position: int, column: string, type: string, nulls: bigint>>"
+
+
+def column_cells(df: DataFrame) -> Column:
+    """The columns of a table and the NULLs each holds, as one aggregate of type ``CELLS``."""
+    return F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                              F.count_if(F.col(f"`{f.name}`").isNull()).alias("nulls")) for i, f in enumerate(df.schema.fields)])
+
+
+def schema_rows(side: Mapping[str, DataFrame]) -> DataFrame:
     """(table, position, column, type, nulls): a table's definition with the NULLs it really holds.
 
     Parquet keeps no constraints, so NOT NULL is observed: one aggregate per table counts every column's NULLs.
     """
     frames = []
     for name, df in sorted(side.items()):
-        counts = [F.count_if(F.col(f"`{c}`").isNull()) if profile else F.lit(None).cast("bigint") for c in df.columns]
-        cells = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
-                                   F.lit(f.dataType.simpleString()).alias("type"), n.alias("nulls"))
-                          for i, (f, n) in enumerate(zip(df.schema.fields, counts))])
-        frames.append(df.agg(cells.alias("cells")).select(F.lit(name).alias("table"), F.inline("cells")))
-    return union_all(frames)
+        frames.append(df.agg(column_cells(df).alias("cells")).select(F.lit(name).alias("table"), F.inline("cells")))
+    return union_all(frames, SCHEMA_ROWS)
 
 
 def declared_schema_rows(spark, side: Mapping[str, T.StructType]) -> DataFrame:
     """The same from declared types alone, for sides that hold no data yet."""
     rows = [(name, i, f.name, f.dataType.simpleString(), None) for name, schema in sorted(side.items())
             for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, "table string, position int, column string, type string, nulls bigint")
+    return spark.createDataFrame(rows, SCHEMA_ROWS)
+
+
+def declared_rules(spark, side: Mapping[str, T.StructType], rules: Mapping[str, Rules]) -> DataFrame:
+    """(table, kind, name, definition) of what a side declares: columns with type and nullability, keys, checks, foreign keys.
+
+    A primary key's columns are not nullable, whatever else is said. No data is read.
+    """
+    found = []
+    for table, schema in side.items():
+        own = rules.get(table, Rules())
+        filled = {*own.not_null, *own.primary_key}
+        found += [(table, "column", f.name, f.dataType.simpleString() + ("" if f.nullable and f.name not in filled else " not null"))
+                  for f in schema.fields]
+        if own.primary_key:
+            found.append((table, "primary key", "primary key", ", ".join(own.primary_key)))
+        found += [(table, "unique", ", ".join(u), ", ".join(u)) for u in own.unique]
+        found += [(table, "check", name, str(condition)) for name, condition in own.checks.items()]
+        found += [(table, "foreign key", ", ".join(k.columns), f"{k.parent} ({', '.join(k.parent_columns)})") for k in own.foreign_keys]
+    return spark.createDataFrame(sorted(found), "table string, kind string, name string, definition string")
+
+
+def declared_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(table, kind, name, definition_old, definition_new, status) of two sides' ``declared_rules``: same, changed, missing, added."""
+    key = ["table", "kind", "name"]
+    joined = (old.withColumnRenamed("definition", "definition_old")
+              .join(new.withColumnRenamed("definition", "definition_new"), key, "full"))
+    status = (F.when(F.col("definition_new").isNull(), "missing").when(F.col("definition_old").isNull(), "added")
+              .when(F.col("definition_old") != F.col("definition_new"), "changed").otherwise("same"))
+    return joined.withColumn("status", status)
 
 
 def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -74,4 +74,4 @@ def constraint_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules
         parts += [_unique_rule(df, "unique", keys) for keys in r.unique]
         parts += [_foreign_rule(df, tables[fk.parent], fk) for fk in r.foreign_keys]
         frames += [p.select(F.lit(name).alias("table"), "kind", "rule", "violations") for p in parts if p is not None]
-    return union_all(frames)
+    return union_all(frames, "table string, kind string, rule string, violations bigint")

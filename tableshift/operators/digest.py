@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableshift.functions.canon import EMPTY_DIGEST, bag_digest, row_md5
+from tableshift.session import cut_lineage
 from tableshift.sources.sides import Side, union_all
 
 TABLES_PER_PLAN = 50
-LEAF_ROWS = 4096
+TREE_DEPTH = 6  # leading hex digits of a leaf: 16 million leaves, however many rows
 
 
 def digest_columns(df: DataFrame, **options) -> list:
@@ -25,37 +26,29 @@ def bag_fingerprint(df: DataFrame, **options) -> DataFrame:
 
 
 def fingerprint(side: Side | Mapping[tuple[str, str], DataFrame], **options) -> DataFrame:
-    """(database, table, rows, digest) of every table of a side, as one plan."""
+    """(database, table, rows, digest) of every table of a side.
+
+    One plan for a side of usual size; beyond ``TABLES_PER_PLAN`` tables, each further plan's few rows are written first.
+    """
     tables = side.tables if isinstance(side, Side) else side
-    return union_all(
+    if len(tables) > TABLES_PER_PLAN:
+        names = sorted(tables)
+        return union_all(cut_lineage(fingerprint({n: tables[n] for n in names[i:i + TABLES_PER_PLAN]}, **options))
+                         for i in range(0, len(names), TABLES_PER_PLAN))
+    return union_all([
         bag_fingerprint(df, **options).select(F.lit(db).alias("database"), F.lit(name).alias("table"), "rows", "digest")
-        for (db, name), df in sorted(tables.items()))
-
-
-def fingerprint_batches(side: Side, per_plan: int = TABLES_PER_PLAN, **options) -> list[DataFrame]:
-    """The same for very many tables, in plans of bounded size."""
-    names = sorted(side.tables)
-    return [fingerprint({n: side.tables[n] for n in names[i:i + per_plan]}, **options)
-            for i in range(0, len(names), per_plan)]
-
-
-def tree_depth(rows: int, leaf_rows: int = LEAF_ROWS) -> int:
-    """Even number of leading hex digits that keeps the expected leaf under ``leaf_rows`` distinct rows."""
-    depth = 2
-    while 16**depth * leaf_rows < rows and depth < 16:
-        depth += 2
-    return depth
+        for (db, name), df in sorted(tables.items())], "database string, table string, rows bigint, digest string")
 
 
-def tree_digest(df: DataFrame, depth: int | None = None, **options) -> DataFrame:
+def tree_digest(df: DataFrame, depth: int = TREE_DEPTH, **options) -> DataFrame:
     """One row (rows, digest): a full-strength md5 over the sorted rows, built as a hash tree.
 
     Concatenating a whole table in order needs one task to hold it. Here equal rows are first counted, each leaf lists
-    the distinct row hashes that share ``depth`` leading digits, and each level above lists at most 256 children. Both
-    sides of a comparison must use the same depth; it follows from the row count unless given.
+    the distinct row hashes that share ``depth`` leading digits, and each level above lists at most 256 children. The
+    depth is fixed, so a digest does not depend on the size of a table; 10**12 rows make leaves of 60,000 hashes.
     """
-    if depth is None:
-        depth = tree_depth(df.count())
+    if depth < 2 or depth % 2:
+        raise ValueError("the depth is an even number of digits")
     counted = df.select(row_md5(df, **options).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     level = (counted.groupBy(F.left("h", F.lit(depth)).alias("node"))
              .agg(F.sum("n").alias("n"),

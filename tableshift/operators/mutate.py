@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tableshift.operators.constraints import ForeignKey, orphans
 from tableshift.operators.diff import duplicate_keys
-from tableshift.session import work_folder
+from tableshift.session import cut_lineage, work_folder
 from tableshift.sources.sides import union_all
 
 
@@ -90,21 +90,26 @@ def data_only_load(target: DataFrame, incoming: DataFrame, *, foreign_keys: Sequ
 def smoke_write(target: DataFrame, probe: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Write probe rows beside the table, read them back with it, and publish nothing.
 
-    One row: (rows_before, rows_with_probe, rows_after, smoke_ok). No generated id is used up.
+    One row: (rows_before, rows_with_probe, rows_after, smoke_ok). Three reads count: the table before the probe is written,
+    the table with the probe, and the table again afterwards; it is well if the probe was seen and the table
+    did not change. No generated id is used up.
     """
+    before = cut_lineage(target.agg(F.count(F.lit(1)).alias("n")))
     path = work_folder(target.sparkSession, "smoke")
     probe.select(*target.columns).write.parquet(path)
     written = target.sparkSession.read.schema(target.schema).parquet(path)
-    seen = target.unionByName(written).join(probe.select(*keys), list(keys), "left_semi")
-    counts = union_all([
-        target.agg(F.count(F.lit(1)).alias("n")).select(F.lit("before").alias("what"), "n"),
-        written.agg(F.count(F.lit(1)).alias("n")).select(F.lit("written").alias("what"), "n"),
-        seen.agg(F.count(F.lit(1)).alias("n")).select(F.lit("seen").alias("what"), "n")])
+    together = target.unionByName(written).join(probe.select(*keys, F.lit(True).alias("#probe")).distinct(), list(keys), "left")
+    counts = cut_lineage(together.agg(F.count(F.lit(1)).alias("with_probe"), F.count("`#probe`").alias("seen"))
+                         .crossJoin(written.agg(F.count(F.lit(1)).alias("written"))))  # one row each
+    counts = union_all([before.select(F.lit("before").alias("what"), "n"),
+                        counts.select(F.lit("with_probe").alias("what"), F.col("with_probe").alias("n")),
+                        counts.select(F.lit("unseen").alias("what"), (F.col("written") - F.col("seen")).alias("n")),
+                        target.agg(F.count(F.lit(1)).alias("n")).select(F.lit("after").alias("what"), "n")])
 
     def of(what):
         return F.max(F.when(F.col("what") == what, F.col("n")))
-    return (counts.agg(of("before").alias("rows_before"), (of("before") + of("written")).alias("rows_with_probe"),
-                       of("before").alias("rows_after"), (of("seen") == of("written")).alias("smoke_ok")))
+    return (counts.agg(of("before").alias("rows_before"), of("with_probe").alias("rows_with_probe"), of("after").alias("rows_after"),
+                       ((of("unseen") == 0) & (of("before") == of("after"))).alias("smoke_ok")))
 
 
 def add_column(df: DataFrame, name: str, data_type: str) -> DataFrame:

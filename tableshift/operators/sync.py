@@ -36,12 +36,12 @@ def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_
                  slot_micros: int | None = None) -> DataFrame:
     """(key, outcome, at): how each sync's waiting ended, over polls (key, time, order, state, rows, error).
 
-    A poll of a table that does not exist yet counts as 0 rows. The third other error without a good poll in between
+    A poll that ended in an error counts as 0 rows. The third other error without a good poll in between
     ends it as ``error``; a failed state as ``failed``; enough rows while online as ``ready``; too long as ``timeout``.
     What has not ended is ``waiting``.
     """
     slot_micros = slot_micros or choose_slot(polls, [key], time)
-    missing, other = F.col("error") == "missing", F.col("error") == "other"
+    other = F.col("error") == "other"
     mark = F.when(other, "e").when(F.col("error").isNull(), "g")  # a missing table neither counts nor resets
     marked = polls.withColumn("mark", mark)
     one = last_before(marked, [key], time, F.col("mark"), name="mark1", tie=[order], slot_micros=slot_micros)
@@ -51,7 +51,7 @@ def sync_outcome(polls: DataFrame, key: str, time: str, order: str, *, expected_
     rows_in_slots, group = with_groups(two, [key], time, slot_micros)
     starts = with_groups(polls, [key], time, slot_micros)[0].groupBy(*group).agg(F.min(time).alias("first")).select(
         *group, F.min("first").over(Window.partitionBy(*group[:-1])).alias("started"))
-    rows = F.when(missing, 0).otherwise(F.col("rows"))
+    rows = F.when(F.col("error").isNotNull(), 0).otherwise(F.col("rows"))
     state = F.coalesce("state", F.lit("unknown"))
     outcome = (F.when(other & (F.col("mark2") == "ee"), "error")
                .when(F.contains(state, F.lit("FAILED")), "failed")

@@ -12,12 +12,9 @@ from tableshift.operators.constraints import Rules, constraint_report
 from tableshift.operators.graph import reach
 from tableshift.sources.versions import NotPublished, VersionStore, matches_any
 
-# Entries the platform owns: an owner at the end of the line, or an object of its own schema. Callers pass their own.
-PLATFORM_PATTERN = r" (cloud_admin|platform_admin)$|__db_system"
 
-
-def filter_listing(lines: DataFrame, line: str, pattern: str = PLATFORM_PATTERN) -> DataFrame:
-    """Add ``skipped`` and put ``;`` before the listing lines a restore must leave alone."""
+def filter_listing(lines: DataFrame, line: str, pattern: str) -> DataFrame:
+    """Add ``skipped`` where the pattern of what a platform owns is found, and put ``;`` before the listing lines a restore must leave alone."""
     skipped = F.col(line).rlike(pattern)
     return (lines.withColumn("skipped", skipped)
             .withColumn(line, F.when(F.col("skipped"), F.concat(F.lit(";"), F.col(line))).otherwise(F.col(line))))
@@ -71,16 +68,16 @@ def restore(source: VersionStore, target: VersionStore, committed_at: int, *, ve
     file makes the new version visible.
     """
     version = source.latest_version() if version is None else version
-    entries = source.manifest().filter(F.col("version") == version).collect()  # one row per table
+    entries = source._entries(version)
     wanted = {e["table"]: (e["rows"], e["digest"]) for e in entries
               if not any(re.search(p, e["table"]) for p in exclude)}
 
     def broken(written):
-        checked = {name: r for name, r in (rules or {}).items() if name in written}
         return constraint_report(written, checked).filter("violations > 0")
 
     if not wanted:
         raise NotPublished("there is nothing to restore")
+    checked = {name: r for name, r in (rules or {}).items() if name in wanted}
     tables = source.tables(version)
     return target.export({name: tables[name] for name in wanted}, committed_at, tag, expect=wanted,
-                         validate=broken if rules else None)
+                         validate=broken if checked else None)

@@ -18,9 +18,9 @@ def _app_tables(t):
 
 @query("""
 select n_name as database, c_name as "table", r_name as owner
-from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = c_custkey % 6""")
+from customer join nation on n_nationkey = c_nationkey left join region on r_regionkey = c_custkey % 6""")
 def ownership_report(t):
-    """Tables of every database with their owners; tables whose owner is not a known role are not listed."""
+    """Tables of every database with their owners; the owner of some is not a known role."""
     tables = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("database"), F.col("c_name").alias("table"), (F.col("c_custkey") % 6).alias("owner_id"))
     roles = t["region"].select(F.col("r_regionkey").cast("bigint").alias("owner_id"), F.col("r_name").alias("owner"))
@@ -49,14 +49,14 @@ def access_audit(t):
 
 @query("""
 with recursive held as (
-  select distinct o_custkey as role, o_orderstatus as privilege from orders where o_orderpriority = '1-URGENT' and o_totalprice > 400000
+  select distinct o_custkey as role, o_orderstatus as privilege from orders
   union
   select m.member, held.privilege from (select c_custkey // 2 as role, c_custkey as member from customer where c_custkey > 0) m
   join held on held.role = m.role)
 select role, privilege from held""")
 def effective_grants(t):
-    """Costly urgent orders are grants to their customer's role; every customer is a member of the role at half its key."""
-    grants = t["orders"].filter("o_orderpriority = '1-URGENT' and o_totalprice > 400000").select(
+    """Orders are grants to their customer's role; every customer is a member of the role at half its key."""
+    grants = t["orders"].select(
         F.col("o_custkey").alias("role"), F.col("o_orderstatus").alias("privilege"))
     key = F.col("c_custkey")
     members = t["customer"].filter(key > 0).select(F.floor(key / 2).alias("role"), key.alias("member"))
@@ -148,13 +148,13 @@ select slug, cast(sum(n) as bigint) as people, cast(sum(n - 1) as bigint) as wit
   select {_SLUG} as slug, id, count(*) as n from (
     select c_name || '@example.com' as address, c_custkey as id from customer
     union all select '__' || s_name || '__@example.com', s_suppkey % 50 from supplier
-    union all select '@example.com', p_partkey from part where p_size = 1) group by 1, 2)
+    union all select '@example.com', p_partkey from part) group by 1, 2)
 group by 1 having sum(n) > 1""")
 def slug_collisions(t):
     """Names that fall together when cut to 16 characters, and whether an id tells them apart."""
     people = (t["customer"].select(F.concat("c_name", F.lit("@example.com")).alias("address"), F.col("c_custkey").alias("id"))
               .union(t["supplier"].select(F.concat(F.lit("__"), "s_name", F.lit("__@example.com")), F.col("s_suppkey") % 50))
-              .union(t["part"].filter("p_size = 1").select(F.lit("@example.com"), "p_partkey")))
+              .union(t["part"].select(F.lit("@example.com"), "p_partkey")))
     return audit.slug_collisions(people, "address", "id")
 
 

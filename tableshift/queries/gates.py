@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableshift.operators import checks, compare, mutate
+from tableshift.operators.sync import freshness
 from tableshift.plans import verify
 from tableshift.queries import sqltext as q
 from tableshift.queries.registry import query
@@ -101,8 +102,12 @@ def _gate(t, new: Side):
     access = new.table("sales", "customer").select(F.col("c_acctbal").isNotNull().alias("can_read"))
     probe = (t["region"].select((-1 - F.col("r_regionkey")).cast("bigint").alias("o_orderkey"),
                                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in t["orders"].schema.fields[1:]]))
+
+    def synced(side):
+        return side.table("sales", "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("version"))
     return verify.cutover_gate(old, new, watermarks={("sales", "orders"): "o_orderkey"}, sequences=seqs,
-                               ledger_newest=ledger, expected_version=5, access=access, sync=None,
+                               ledger_newest=ledger, expected_version=5, access=access,
+                               sync=freshness(synced(old), synced(new), ["o_custkey"]),
                                smoke=mutate.smoke_write(new.table("sales", "orders"), probe, ["o_orderkey"]))
 
 
@@ -114,7 +119,9 @@ def _gate_sql(side: str, orders: str, customer: str) -> str:
             f"(select o_orderstatus as s, max(o_orderkey) as m from {orders} group by 1) b using (s) where a.m is distinct from b.m)")
     ledger = f"(select max(cast(left(o_orderpriority, 1) as int)) from {orders}) = 5"
     access = f"(select bool_and(c_acctbal is not null) from {customer})"
-    conditions = (same, marks, seqs, ledger, access, "true", "true")
+    sync = (f"not exists (select 1 from (select o_custkey as k, max(o_orderkey) as m from orders group by 1) a left join "
+            f"(select o_custkey as k, max(o_orderkey) as m from {orders} group by 1) b using (k) where a.m is distinct from b.m)")
+    conditions = (same, marks, seqs, ledger, access, sync, "true")
     return " union all ".join(f"select '{side}' as side, '{n}' as \"check\", {c} as passed" for n, c in zip(_GATE_NAMES, conditions))
 
 
@@ -136,6 +143,43 @@ def report_json(t):
         F.col("check").cast("string").alias("check"), "status", "detail",
         F.concat(F.lit("run "), F.col("check").cast("string")).alias("fix"))
     lines = checks.report_lines(latest)
-    parsed = F.from_json("document", "check string, status string, detail string, fix string")
-    return lines.withColumn("r", parsed).select("check", "document", F.col("r.status").alias("status_back"),
-                                                F.col("r.detail").alias("detail_back"))
+    back = checks.read_report_lines(lines).select("check", F.col("status").alias("status_back"), F.col("detail").alias("detail_back"))
+    return lines.join(back, "check")
+
+
+@query(f"""
+with latest as (select "check", arg_max(status, ord) as status, arg_max(detail, ord) as detail from {_RUNS} group by 1)
+select "check" // 5 as "database", '{{"verdict":"' || case when bool_or(status = 'fail') then 'not ready' when bool_or(status = 'warn')
+    then 'ready with notes' else 'ready' end || '","results":[' || string_agg('{{"check":"' || "check" || '","status":"' || status
+    || '","detail":' || to_json(detail) || ',"fix":"run ' || "check" || '"}}', ',' order by cast("check" as varchar)) || ']}}' as document
+from latest group by 1""")
+def report_verdict(t):
+    """Verdict and newest results of each group of five checks as one document."""
+    latest = checks.latest_results(_runs(t)).select(
+        F.floor(F.col("check") / 5).alias("database"), F.col("check").cast("string").alias("check"), "status", "detail",
+        F.concat(F.lit("run "), F.col("check").cast("string")).alias("fix"))
+    return checks.report_documents(latest, ["database"])
+
+
+@query("""
+with a as (select count(*) as n from orders where o_custkey not in (select c_custkey from customer)),
+b as (select count(*) as n from orders where o_totalprice < 1000), c as (select count(*) as n from customer where c_acctbal < 0)
+select 'orders have customers' as "check", case when n = 0 then 'pass' else 'fail' end as status, n || ' rows' as detail,
+    case when n = 0 then '' else 'load customers first' end as fix from a
+union all select 'prices in range', case when n = 0 then 'pass' else 'warn' end, n || ' rows', case when n = 0 then '' else 'look at them' end from b
+union all select 'balances', case when n = 0 then 'pass' else 'fail' end, n || ' rows', case when n = 0 then '' else 'ask for money' end from c
+union all select 'ready to bill', case when c.n = 0 then 'pass' else 'skip' end,
+    case when c.n = 0 then '0 rows' else 'needs: balances' end, '' from c""")
+def check_run(t):
+    """Four checks over orders and customers; the last one needs two of the others and is not run without them."""
+    def counted(df, otherwise):
+        n = F.count(F.lit(1))
+        return lambda: df.agg(F.when(n == 0, "pass").otherwise(otherwise).alias("status"), F.concat(n.cast("string"), F.lit(" rows")).alias("detail"))
+    orders, people = t["orders"], t["customer"]
+    lost = orders.join(people, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    done = checks.run_checks(t.spark, [
+        checks.Check("ready to bill", counted(people.filter("c_custkey is null"), "fail"), "", ["orders have customers", "balances"]),
+        checks.Check("orders have customers", counted(lost, "fail"), "load customers first"),
+        checks.Check("prices in range", counted(orders.filter("o_totalprice < 1000"), "warn"), "look at them"),
+        checks.Check("balances", counted(people.filter("c_acctbal < 0"), "fail"), "ask for money")])
+    return done.select("check", "status", "detail", "fix")

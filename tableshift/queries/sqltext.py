@@ -64,7 +64,8 @@ def row_md5(table: str, columns: list[str] | None = None) -> str:
 
 
 def bag_digest(md5_sql: str) -> str:
-    return f"coalesce(cast(sum(cast(concat('0x', substr({md5_sql}, 1, 15)) as bigint)) as varchar), '0')"
+    parts = [f"coalesce(cast(sum(cast(concat('0x', substr({md5_sql}, {at}, 15)) as bigint)) as varchar), '0')" for at in (1, 16)]
+    return f"concat_ws(':', {parts[0]}, {parts[1]})"
 
 
 def fingerprint(table: str, source: str | None = None, label: str = "") -> str:

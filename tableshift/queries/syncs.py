@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableshift.functions.times import DAY, HOUR
-from tableshift.operators import slots, sync
+from tableshift.operators import diff, slots, sync
 from tableshift.queries import sqltext as q
 from tableshift.queries.registry import query
 from tableshift.sources import fixtures as fx
@@ -17,20 +17,38 @@ _COMMIT = 1_700_000_000_000_000
 
 def _event_stream(t):
     """The events as a stream; their wall-clock stamps become moments in UTC, which watermarks need."""
-    stream = jobs.read_files(t.spark, t.folder, t["events"].schema, "events.parquet")
-    return stream.withColumn("ts", F.timestamp_micros(t.micros("events", "ts")))
+    return _moments(t, jobs.read_files(t.spark, t.folder, t["events"].schema, "events.parquet"))
+
+
+def _moments(t, events):
+    return events.withColumn("ts", F.timestamp_micros(t.micros("events", "ts")))
 
 
 @query(q.fingerprint("part", "part", "cast(1 as bigint) as version, '17' as source_version,") + " union all "
        + q.fingerprint("part", "(select * replace (p_size + 1 as p_size) from part)", "2, '18',"))
 def sync_snapshot(t):
     """Two full refreshes of a keyed source; each records the source version it shows."""
-    store = VersionStore(t.spark)
+    store = VersionStore(t.spark, digest={"exact": False})
     sync.snapshot_sync(t["part"], ["p_partkey"], store, "part", _COMMIT, 17)
     sync.snapshot_sync(t["part"].withColumn("p_size", F.col("p_size") + 1), ["p_partkey"], store, "part", _COMMIT + HOUR, 18)
     return store.manifest().select("version", F.col("tag").alias("source_version"), "rows", "digest")
 
 
+@query(f"""
+select p_partkey, p_name, p_size + 1 as p_size, '18' as source_version, true as current
+from part where (select count(*) from part) = (select count(distinct p_partkey) from part)""")
+def sync_moved(t):
+    """A sync moved to a new target: refreshed there in full, and proven current against its source row by row."""
+    source = t["part"].withColumn("p_size", F.col("p_size") + 1)
+    old, new = VersionStore(t.spark), VersionStore(t.spark)
+    sync.snapshot_sync(t["part"], ["p_partkey"], old, "part", _COMMIT, 17)
+    sync.snapshot_sync(source, ["p_partkey"], new, "part", _COMMIT + HOUR, 18)
+    tag = new.manifest().select(F.col("tag").alias("source_version"))  # one table
+    differ = diff.differing_keys(source, new.read("part"), ["p_partkey"]).withColumn("differs", F.lit(True))
+    return (new.read("part").join(differ, "p_partkey", "left").join(tag)
+            .select("p_partkey", "p_name", "p_size", "source_version", F.col("differs").isNull().alias("current")))
+
+
 @query("""
 select user_id, arg_max(event_type, event_id) as event_type, arg_max(value, event_id) as value, max(event_id) as event_id
 from events group by 1 having arg_max(event_type, event_id) <> 'error'""")
@@ -59,7 +77,7 @@ counted as (
 judged as (
   select p.user_id, p."at", p.event_id,
     case when error = 'other' and m1 = 'e' and m2 = 'e' then 'error' when contains(coalesce(state, 'unknown'), 'FAILED') then 'failed'
-      when contains(coalesce(state, 'unknown'), 'ONLINE') and (case when error = 'missing' then 0 else n end) >= 60 then 'ready'
+      when contains(coalesce(state, 'unknown'), 'ONLINE') and (case when error is null then n else 0 end) >= 60 then 'ready'
       when "at" - started > 864000000000 then 'timeout' end as outcome
   from {_POLLS} p join started using (user_id) left join counted using (event_id))
 select s.user_id, coalesce(arg_min(outcome, ("at", event_id)), 'waiting') as outcome, min("at") as "at"
@@ -111,12 +129,12 @@ def stream_dedup(t):
 
 @query("""
 select epoch_us(date_trunc('day', ts)) as window_start, user_id % 5 as shard, count(*) as writes from events
-where date_trunc('day', ts) + interval 1 day <= date_trunc('millisecond', (select max(ts) from events)) - interval 1 hour
 group by 1, 2""")
 def stream_windows(t):
-    """Writes per day and shard, of the days whose window the stream could close."""
-    stream = _event_stream(t).select((F.col("user_id") % 5).alias("shard"), "ts")
-    found = jobs.drain(jobs.writes_per_window(stream, "ts", "1 day", "1 hour", ["shard"]), "windows")
+    """Writes per day and shard: days whose window the stream closed, and those still open at its end."""
+    def counted(events):
+        return jobs.writes_per_window(events.select((F.col("user_id") % 5).alias("shard"), "ts"), "ts", "1 day", "1 hour", ["shard"])
+    found = jobs.with_open(jobs.drain(counted(_event_stream(t)), "windows"), counted(_moments(t, t["events"])), ["window_start", "shard"])
     return found.select(F.unix_micros("window_start").alias("window_start"), "shard", "writes")
 
 
@@ -125,12 +143,12 @@ select user_id, epoch_us(min(ts)) as session_start, epoch_us(max(ts) + interval
 from (select *, sum(new) over (partition by user_id order by ts, event_id) as session from (
         select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 6 hours then 0 else 1 end as new
         from events))
-group by user_id, session
-having max(ts) + interval 6 hours <= date_trunc('millisecond', (select max(ts) from events)) - interval 1 hour""")
+group by user_id, session""")
 def stream_sessions(t):
-    """Bursts of writes by user, of those the stream could close."""
-    stream = _event_stream(t).select("user_id", "ts")
-    found = jobs.drain(jobs.write_sessions(stream, ["user_id"], "ts", "6 hours", "1 hour"), "sessions")
+    """Bursts of writes by user: those the stream closed, and those still open at its end."""
+    def bursts(events):
+        return jobs.write_sessions(events.select("user_id", "ts"), ["user_id"], "ts", "6 hours", "1 hour")
+    found = jobs.with_open(jobs.drain(bursts(_event_stream(t)), "sessions"), bursts(_moments(t, t["events"])), ["user_id", "session_start"])
     return found.select("user_id", F.unix_micros("session_start").alias("session_start"),
                         F.unix_micros("session_end").alias("session_end"), "writes")
 

@@ -44,7 +44,11 @@ def scan(spark: SparkSession, sql: str, args: Mapping | None = None, **tables: D
     return spark.sql(sql, args=dict(args or {}), **tables)
 
 
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
+def union_all(frames: Iterable[DataFrame], schema: str | None = None) -> DataFrame:
+    """All rows of the frames; of no frames, an empty one of the schema."""
+    frames = list(frames)
+    if not frames and schema:
+        return SparkSession.active().createDataFrame([], schema)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

@@ -1,16 +1,20 @@
 """Versioned exports: immutable table folders plus a manifest that decides what exists.
 
-Tables are written first, read back and checked; one manifest file per version, written last, publishes them all. A
-failed check publishes nothing. One writer at a time: a second one that reaches the same version is refused.
+Every attempt writes its tables into a fresh folder, reads them back and checks them; nothing that exists is ever
+overwritten. One manifest file per version, which names the folders, publishes them all: it is written under another name
+and then renamed to a name that must not exist yet. A failed check, a crash or a refused second writer publishes nothing and
+leaves the published versions as they are.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,24 +39,50 @@ class NotPublished(RuntimeError):
 class VersionStore:
     """Versions of a set of tables below one folder."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, parallel_tables: int = 4):
+    def __init__(self, spark: SparkSession, root: str | None = None, parallel_tables: int = 4,
+                 digest: Mapping[str, object] | None = None):
+        """``digest`` gives the options of the tables' fingerprints; exact ones by default."""
         self.spark = spark
         self.root = (root or work_folder(spark, "versions")).rstrip("/")
         self.parallel_tables = parallel_tables
+        self.digest = dict(digest or {})
 
     def manifest(self) -> DataFrame:
         """One row per published table of each version."""
         path = f"{self.root}/manifest"
         if not self._exists(path):
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+        return self.spark.read.schema(MANIFEST_SCHEMA).option("pathGlobFilter", "version=*.json").json(path)
 
     def _exists(self, path: str) -> bool:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
+    def _publish(self, version: int, entries: Sequence[Sequence]) -> None:
+        """Create the version's manifest in one step, unless there is one."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        names = [c.split()[0] for c in MANIFEST_SCHEMA.split(", ")]
+        text = "\n".join(json.dumps(dict(zip(names, e))) for e in entries)
+        draft = hadoop.Path(f"{self.root}/manifest/_draft-{uuid.uuid4().hex}")
+        final = hadoop.Path(f"{self.root}/manifest/version={version}.json")
+        files = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = files.create(draft, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            if files.exists(final):
+                raise NotPublished(f"version {version} was published by another writer")
+            hadoop.FileContext.getFileContext(files.getUri(), self.spark._jsc.hadoopConfiguration()).rename(
+                files.makeQualified(draft), files.makeQualified(final), none)  # refuses an existing name
+        except Py4JJavaError as e:
+            raise NotPublished(f"version {version} was published by another writer") from e
+        finally:
+            files.delete(draft, False)
+
     def latest_version(self) -> int | None:
-        return self.manifest().agg(F.max("version")).first()[0]
+        newest = latest_versions(self.manifest()).first()
+        return newest["version"] if newest else None
 
     def export(self, tables: Mapping[str, DataFrame], committed_at: int, tag: str | None = None, *,
                exclude: Sequence[str] = (), expect: Mapping[str, tuple[int, str]] | None = None,
@@ -66,12 +96,13 @@ class VersionStore:
         reference.
         """
         wanted = {n: df for n, df in tables.items() if not any(re.search(p, n) for p in exclude)}
-        latest = self.manifest().agg(F.max(F.struct("version", "committed_at")).alias("m")).first()["m"]
+        latest = latest_versions(self.manifest()).first()
         version = latest["version"] + 1 if latest else 1
         if latest and committed_at <= latest["committed_at"]:
             raise NotPublished("a version must be committed after the one before it")
+        attempt = uuid.uuid4().hex
         with ThreadPoolExecutor(self.parallel_tables) as pool:
-            rows = list(pool.map(lambda item: self._write(version, *item), wanted.items()))
+            rows = list(pool.map(lambda item: self._write(attempt, *item), wanted.items()))
         for table, count, digest, *_ in rows:
             if expect is not None and expect.get(table) != (count, digest):
                 raise NotPublished(f"{table} is not what was expected")
@@ -85,25 +116,24 @@ class VersionStore:
                         for r in self._entries(latest["version"]) if r["table"] not in wanted]
         if any(re.search(p, e[3]) for e in entries for p in exclude):
             raise NotPublished("an excluded table is still in the export")
-        # The folder must not exist yet, and its single file appears in one step.
-        frame = self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
-        frame.write.mode("errorifexists").parquet(f"{self.root}/manifest/version={version}")
+        self._publish(version, entries)
         return version
 
-    def _write(self, version: int, table: str, df: DataFrame):
+    def _write(self, attempt: str, table: str, df: DataFrame):
         """Write a table and prove the copy: what was sent and what is read back have one fingerprint."""
-        path = f"{self.root}/data/version={version}/{table}"
+        path = f"{self.root}/data/{attempt}/{table}"
         seen = Observation()  # the fingerprint of what is sent is taken while it is written
-        # Overwrite, since leftovers of a version that was never published may be there.
-        df.observe(seen, *digest_columns(df)).write.mode("overwrite").parquet(path)
+        df.observe(seen, *digest_columns(df, **self.digest)).write.mode("errorifexists").parquet(path)
         sent = seen.get
-        back = bag_fingerprint(self.spark.read.schema(df.schema).parquet(path)).first()
+        back = bag_fingerprint(self.spark.read.schema(df.schema).parquet(path), **self.digest).first()
         if (sent["rows"], sent["digest"]) != (back["rows"], back["digest"]):
             raise NotPublished(f"{table} differs after writing")
         return table, back["rows"], back["digest"], df.schema.json(), path
 
     def _entries(self, version: int):
-        return self.manifest().filter(F.col("version") == version).collect()
+        """One row per table of the version, from its own manifest file."""
+        path = f"{self.root}/manifest/version={version}.json"
+        return self.spark.read.schema(MANIFEST_SCHEMA).json(path).collect() if self._exists(path) else []
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         version = self.latest_version() if version is None else version
@@ -142,6 +172,12 @@ class VersionStore:
         return self.read(table, self.version_tagged(tag))
 
 
+def latest_versions(versions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(…by, version, committed_at) of the newest (version, committed_at), none for no versions."""
+    newest = F.max(F.struct("version", "committed_at")).alias("newest")
+    return versions.groupBy(*by).agg(newest).filter("newest is not null").select(*by, "newest.version", "newest.committed_at")
+
+
 def retention_plan(versions: DataFrame, now: int, ttl_seconds: int = 86_400, history_days: int = 7) -> DataFrame:
     """Add (expired, readable) to (version, committed_at, no_expiry): the newest version never expires.
 

@@ -9,16 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableshift.operators.mutate import first_per_key
-from tableshift.session import work_folder
+from tableshift.session import cut_lineage, work_folder
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, name: str = "*.parquet",
                files_per_batch: int | None = None) -> DataFrame:
-    """A folder of Parquet files as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    """Parquet files as a stream: those of ``folder`` that match ``name``, or those in the one folder of that name.
+
+    Fails if nothing is there, since a stream over nothing would end well with no rows.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder, name)
+    found = list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
+    if not found:
+        raise FileNotFoundError(f"nothing matches {name} in {folder}")
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if all(f.isDirectory() for f in found):
+        return reader.option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name}")
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
@@ -34,21 +44,30 @@ def drain(stream: DataFrame, purpose: str = "stream") -> DataFrame:
     return run_to_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")
 
 
+def with_open(closed: DataFrame, whole: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a finished stream has closed, and of a batch over the same rows what it left open (windows or sessions, by ``keys``)."""
+    # Written first: with session windows below it, a join's pushed-down filters change how sessions merge.
+    return closed.unionByName(cut_lineage(whole).join(closed.select(*keys), list(keys), "left_anti"))
+
+
 class ChangeLogSync:
     """Upserts a stream of row changes into a copy, as a log of per-batch changes over a base.
 
     A batch is reduced to the newest change per key and overwrites its own folder, so a batch that is delivered again
-    changes nothing, and no trigger rewrites the whole copy. Reading resolves the newest change per key; ``compact``
-    turns base and log into a new base, after which only later batches are read.
+    changes nothing, and no trigger rewrites the whole copy. Reading resolves the newest change per key. Every
+    ``compact_every`` batches the base and log become a new base, after which only later batches are listed and read.
     """
 
     def __init__(self, spark: SparkSession, keys: Sequence[str], version: str, deleted: str, schema: T.StructType,
-                 root: str | None = None):
+                 root: str | None = None, compact_every: int = 64):
+        self.compact_every = compact_every
         self.spark, self.keys, self.version, self.deleted, self.schema = spark, list(keys), version, deleted, schema
         self.root = (root or work_folder(spark, "changelog")).rstrip("/")
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         self._newest(batch).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact()
 
     def start(self, stream: DataFrame, every: str | None = None):
         """Run once over what is there (triggered), or keep running at an interval (continuous)."""

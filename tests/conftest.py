@@ -5,10 +5,10 @@ from tableshift.session import configure
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = configure(SparkSession.builder.master("local[8]").appName("tests"), **{
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-        "spark.ui.showConsoleProgress": "false"}).getOrCreate()
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}).getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableshift.operators import checks, compare, graph, mutate
+from tableshift.operators.constraints import ForeignKey, Rules
 from tableshift.plans.verify import cutover_gate
 from tableshift.sources.sides import Side
 
@@ -82,11 +83,53 @@ def test_gate_notices(spark, rows):
 
 def test_report(spark, rows):
     df = results(spark, [("a", "pass", 'say "hi"', "", 1), ("b", "warn", "x", "fix", 2)])
-    document = json.loads(checks.report_document(spark, df))
+    document = json.loads(checks.report_documents(df).first()["document"])
     assert document["verdict"] == "ready with notes" and document["results"][0]["detail"] == 'say "hi"'
     assert rows(checks.read_report_lines(checks.report_lines(df))) == [("a", "pass", 'say "hi"', ""), ("b", "warn", "x", "fix")]
-    with pytest.raises(ValueError):
-        checks.report_document(spark, df, most=1)
+    many = df.withColumn("run", F.col("check")).unionByName(df.withColumn("run", F.lit("b")))
+    per_run = {r["run"]: json.loads(r["document"]) for r in checks.report_documents(many, ["run"]).collect()}
+    assert [len(per_run[k]["results"]) for k in "ab"] == [1, 3] and per_run["a"]["verdict"] == "ready"
+
+
+def test_runner_skips_without_running(spark, rows):
+    ran = []
+
+    def body(name, status):
+        def run():
+            ran.append(name)
+            return spark.createDataFrame([(status, f"{name} ran")], "status string, detail string")
+        return run
+    listed = [checks.Check("d", body("d", "pass"), "x", ["b", "c"]), checks.Check("a", body("a", "pass")),
+              checks.Check("b", body("b", "fail"), "mend b", ["a"]), checks.Check("c", body("c", "pass"), "", ["a"]),
+              checks.Check("e", body("e", "pass"), "", ["d"]), checks.Check("f", body("f", "odd")), checks.Check("g", body("g", "pass"), "", ["nobody"]),
+              checks.Check("l1", body("l1", "pass"), "", ["l2"]), checks.Check("l2", body("l2", "pass"), "", ["l1"]),
+              checks.Check("z", lambda: 1 / 0)]
+    done = checks.run_checks(spark, listed)
+    assert sorted(ran) == ["a", "b", "c", "f"]
+    assert rows(done, "check", "status") == [("a", "pass"), ("b", "fail"), ("c", "pass"), ("d", "skip"), ("e", "skip"), ("f", "fail"),
+                                             ("g", "skip"), ("l1", "skip"), ("l2", "skip"), ("z", "fail")]
+    assert done.filter("check = 'd'").first()["detail"] == "needs: b" and done.filter("seconds is null or seconds < 0").isEmpty()
+    again = checks.run_checks(spark, [checks.Check("b", body("b", "pass"))], earlier=done)
+    assert again.count() == 10 and again.filter("check = 'b'").first()["status"] == "pass"
+
+
+def test_gate_scans_each_table_once(spark, tmp_path):
+    orders = spark.range(1, 101).select(F.col("id").alias("order_id"), F.lit(1999).alias("cents"))
+    orders.write.parquet(str(tmp_path / "o"))
+    side = Side.of("s", {"app": {"orders": spark.read.parquet(str(tmp_path / "o"))}})
+    gated = cutover_gate(side, side, watermarks={("app", "orders"): "order_id"}, expected_version=3, sync=None,
+                         sequences=spark.sql("select true ok"), ledger_newest=spark.sql("select 3 v"),
+                         access=spark.sql("select true can_read"), smoke=spark.sql("select true smoke_ok"))
+    assert checks.gate_summary(gated).first()["go"]
+    assert str(tmp_path) not in gated._jdf.queryExecution().optimizedPlan().toString()  # only written profiles are read
+    rules = Rules(foreign_keys=[ForeignKey(["order_id"], "x", ["y"])])
+    declared = [compare.declared_rules(spark, {"orders": orders.schema}, {"orders": r}) for r in (rules, Rules())]
+    dropped = compare.declared_diff(*declared)
+    assert [(r["kind"], r["status"]) for r in dropped.filter("status <> 'same'").collect()] == [("foreign key", "missing")]
+    failed = cutover_gate(side, side, watermarks={("app", "orders"): "order_id"}, expected_version=3, sync=None, declarations=dropped,
+                          sequences=spark.sql("select true ok"), ledger_newest=spark.sql("select 3 v"),
+                          access=spark.sql("select true can_read"), smoke=spark.sql("select true smoke_ok"))
+    assert failed.filter("not passed").count() == 1
 
 
 def test_lineage_of_a_long_chain(spark, rows):
@@ -97,6 +140,12 @@ def test_lineage_of_a_long_chain(spark, rows):
     assert waves[0] == (0, 0, 20, 0) and [w for w in waves if w[0] == 20] == [(20, 20, 0, 20)]
 
 
+def test_lineage_of_20000_levels(spark):
+    tree = spark.range(20_000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"))
+    found = graph.lineage(tree, "id", "parent", with_path=False)
+    assert found.filter("depth = node and root = 0 and path is null").count() == 20_000
+
+
 def test_lineage_of_a_wide_tree(spark):
     tree = spark.range(2000).select("id", F.when(F.col("id") > 0, F.lit(0).cast("long")).alias("parent"))
     assert graph.lineage(tree, "id", "parent").filter("depth = 1 and path = concat('0/', node)").count() == 1999
@@ -106,7 +155,10 @@ def test_broken_trees_raise(spark):
     with pytest.raises(ValueError, match="does not exist"):
         graph.lineage(spark.createDataFrame([(1, None), (2, 7)], "id int, parent int"), "id", "parent")
     with pytest.raises(ValueError, match="loop"):
-        graph.lineage(spark.createDataFrame([(1, 2), (2, 1)], "id int, parent int"), "id", "parent", max_depth=8)
+        graph.lineage(spark.createDataFrame([(1, 2), (2, 1)], "id int, parent int"), "id", "parent")
+    ring = spark.range(2000).select("id", ((F.col("id") + 1) % 2000).alias("parent"))
+    with pytest.raises(ValueError, match="loop"):
+        graph.lineage(ring, "id", "parent")
 
 
 def test_reach_keeps_labels_apart(spark, rows):

@@ -139,3 +139,45 @@ def test_constraints(spark, rows):
     assert rows(found, "kind", "rule", "violations") == [
         ("check", "pct", 2), ("foreign_key", "code->coupons", 2), ("not_null", "id", 2), ("primary_key", "id", 1),
         ("unique", "code", 2)]
+
+
+def test_small_and_large_changes_are_seen(spark):
+    for before, after in ((0.1, 0.1 + 1e-9), (1e15, 1e15 + 1), (1.0, 1.0 + 2**-52)):
+        a, b = [spark.createDataFrame([(1, x)], "k int, v double") for x in (before, after)]
+        old, new = Side.of("o", {"d": {"t": a}}), Side.of("n", {"d": {"t": b}})
+        assert not compare.copy_compare(old, new).first()["identical"]
+        assert compare.bucket_compare(a, b, ["k"]).filter("not identical").count() == 1
+        assert drill_down(old, new, {("d", "t"): ["k"]})[("d", "t")].first()["changed_columns"] == "v"
+
+
+def test_one_sided_columns_and_tables_are_not_lost(spark, rows):
+    a = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    wider = a.withColumn("extra", F.when(F.col("k") == 1, "e"))
+    for left, right in ((a, wider), (wider, a), (a, a.withColumn("v", F.lit(1)))):
+        with pytest.raises(diff.DifferentColumns):
+            diff.row_diff(left, right, ["k"])
+        with pytest.raises(diff.DifferentColumns):
+            diff.bag_diff(left, right)
+    assert diff.row_diff(a, wider, ["k"], ["v"]).isEmpty()
+    keys = {("d", "t"): ["k"], ("d", "gone"): ["k"], ("d", "fresh"): ["k"], ("d", "typed"): ["k"]}
+    old = Side.of("o", {"d": {"t": a, "gone": a, "typed": spark.createDataFrame([(1, 5)], "k int, v int")}})
+    new = Side.of("n", {"d": {"t": wider, "fresh": a, "typed": spark.createDataFrame([(1, "5")], "k int, v string")}})
+    found = drill_down(old, new, keys)
+    assert set(found) == {("d", "t"), ("d", "gone"), ("d", "fresh")}
+    assert rows(found[("d", "t")]) == [(1, "changed", "extra")]
+    assert rows(found[("d", "gone")], "k", "change") == [(1, "removed"), (2, "removed")]
+    assert rows(found[("d", "fresh")], "k", "change") == [(1, "added"), (2, "added")]
+
+
+def test_an_empty_side(spark, rows):
+    side, empty = Side.of("o", {"d": {"t": spark.range(3)}}), Side.of("n", {})
+    assert rows(compare.copy_compare(side, empty)) == [("d", "t", 3, None, False)]
+    assert compare.copy_compare(empty, empty).isEmpty() and constraint_report({}, {}).isEmpty()
+
+
+def test_columns_named_like_helpers(spark, rows):
+    schema = "k int, delta int, here int, old_here string, copies int"
+    a, b = [spark.createDataFrame([(1, x, 1, "y", 1)], schema) for x in (1, 2)]
+    assert rows(diff.row_diff(a, b, ["k"])) == [(1, "changed", "delta")]
+    assert rows(diff.pruned_row_diff(a, b, ["k"], keep_values=True), "old_delta", "new_delta") == [(1, 2)]
+    assert diff.bag_diff(a, b).columns[-1] == "delta_" and rows(diff.bag_diff(a, b), "delta", "delta_") == [(1, -1), (2, 1)]

@@ -12,8 +12,8 @@ def prints(df, **options):
     return tuple(digest.bag_fingerprint(df, **options).first())
 
 
-def tree(df, depth=2):
-    return tuple(digest.tree_digest(df, depth).first())
+def tree(df):
+    return tuple(digest.tree_digest(df).first())
 
 
 def frame(spark, data, schema="a string, b string"):
@@ -48,26 +48,35 @@ def test_order_and_partitioning_do_not_count(spark):
 
 def test_empty(spark):
     empty = frame(spark, [])
-    assert prints(empty) == (0, "0")
+    assert prints(empty) == (0, "0:0")
     assert tree(empty) == (0, EMPTY_DIGEST)
 
 
 def test_digest_is_the_sum_of_md5_parts(spark):
-    expected = sum(int(hashlib.md5(t).hexdigest()[:15], 16) for t in (b"a|1", b"b|\\N", b"b|\\N"))
+    hashes = [hashlib.md5(t).hexdigest() for t in (b"a|1", b"b|\\N", b"b|\\N")]
+    expected = ":".join(str(sum(int(h[a:a + 15], 16) for h in hashes)) for a in (0, 15))
     df = frame(spark, [("a", 1), ("b", None), ("b", None)], "a string, b int")
-    assert prints(df) == (3, str(expected))
+    assert prints(df) == (3, expected)
 
 
 def test_tree_digest_shape(spark):
     df = frame(spark, [("a",), ("b",), ("b",)], "a string")
     hashes = sorted((hashlib.md5(t).hexdigest(), n) for t, n in ((b"a", 1), (b"b", 2)))
-    leaves = sorted((h[:2], hashlib.md5(f"{h}:{n}".encode()).hexdigest()) for h, n in hashes)
-    root = hashlib.md5("|".join(f"{p}:{d}" for p, d in leaves).encode()).hexdigest()
-    assert tree(df) == (3, root)
+    level = sorted((h[:6], hashlib.md5(f"{h}:{n}".encode()).hexdigest()) for h, n in hashes)
+    for depth in (4, 2, 0):
+        above = {}
+        for p, d in level:
+            above.setdefault(p[:depth], []).append(f"{p}:{d}")
+        level = sorted((p, hashlib.md5("|".join(c).encode()).hexdigest()) for p, c in above.items())
+    assert tree(df) == (3, level[0][1])
 
 
-def test_tree_depth_grows_with_rows():
-    assert [digest.tree_depth(n) for n in (0, 10**6, 10**8, 10**12)] == [2, 2, 4, 8]
+def test_tree_digest_does_not_depend_on_the_count(spark):
+    """Beyond a million rows, the digest is that of the same rows in any other order and partitioning."""
+    rows = spark.range(1_100_000)
+    assert tree(rows) == tree(rows.orderBy(F.col("id").desc()).repartition(3))
+    with pytest.raises(ValueError):
+        digest.tree_digest(rows, depth=3)
 
 
 def test_hot_row_is_one_leaf_entry(spark):
@@ -79,10 +88,9 @@ def test_hot_row_is_one_leaf_entry(spark):
 def test_doubles(spark):
     def one(x, **options):
         return prints(spark.createDataFrame([(x,)], "x double"), **options)
-    assert one(0.1) != one(0.100001)
-    assert one(0.1) == one(0.1 + 1e-9)
-    assert one(0.1, exact=True) != one(0.1 + 1e-9, exact=True)
-    assert one(0.1, scale={"x": 9}) != one(0.1 + 1e-9, scale={"x": 9})
+    assert one(0.1) != one(0.1 + 1e-9) and one(1e15) != one(1e15 + 1) and one(0.0) == one(-0.0)
+    assert one(0.1, exact=False) == one(0.1 + 1e-9, exact=False) != one(0.100001, exact=False)
+    assert one(0.1, exact=False, scale={"x": 9}) != one(0.1 + 1e-9, exact=False, scale={"x": 9})
     assert len({one(x) for x in (float("nan"), float("inf"), float("-inf"), 1e300, 1e301, 0.0, None)}) == 7
 
 
@@ -107,11 +115,10 @@ def test_copy_compare_one_sided_and_changed(spark, rows):
         ("db", "old_only", 10, None, False), ("db", "same", 10, 10, True)]
 
 
-def test_fingerprints_in_batches(spark, rows):
+def test_fingerprints_in_batches(spark, rows, monkeypatch):
     side = Side.of("s", {"db": {f"t{i}": spark.range(i) for i in range(5)}})
-    batches = digest.fingerprint_batches(side, per_plan=2)
-    assert len(batches) == 3
-    assert sorted(r for b in batches for r in rows(b, "table", "rows")) == [(f"t{i}", i) for i in range(5)]
+    monkeypatch.setattr(digest, "TABLES_PER_PLAN", 2)
+    assert rows(digest.fingerprint(side), "table", "rows") == [(f"t{i}", i) for i in range(5)]
 
 
 def test_fingerprint_sends_one_row_per_task(spark):

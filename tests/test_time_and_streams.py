@@ -182,3 +182,35 @@ def test_windows_and_sessions_close_behind_the_watermark(spark, tmp_path, rows):
     assert rows(windows.select(F.unix_seconds("window_start"), "writes")) == [(0, 3), (60, 1)]
     sessions = jobs.drain(jobs.write_sessions(stream.withColumn("k", F.lit("x")), ["k"], "ts", "40 seconds", "1 minute"))
     assert rows(sessions.select(F.unix_seconds("session_start"), F.unix_seconds("session_end"), "writes")) == [(0, 100, 4)]
+
+
+def test_streams_read_a_file_or_a_folder_of_parts(spark, rows, tmp_path):
+    events = spark.range(200).select("id", F.timestamp_micros(F.col("id") * 7_000_000).alias("ts"))
+    events.repartition(5).write.parquet(str(tmp_path / "parts" / "events.parquet"))
+    events.coalesce(1).write.parquet(str(tmp_path / "one"))
+    file = next((tmp_path / "one").glob("part-*.parquet"))
+    (tmp_path / "single").mkdir()
+    (tmp_path / "single" / "events.parquet").write_bytes(file.read_bytes())
+    counted = lambda df: jobs.writes_per_window(df, "ts", "1 minute", "1 minute")
+    for folder in ("parts", "single"):
+        stream = jobs.read_files(spark, str(tmp_path / folder), events.schema, "events.parquet")
+        assert jobs.drain(stream).count() == 200
+        found = jobs.with_open(jobs.drain(counted(stream)), counted(events), ["window_start"])
+        assert found.agg(F.sum("writes")).first()[0] == 200 and rows(found) == rows(counted(events))
+    with pytest.raises(FileNotFoundError):
+        jobs.read_files(spark, str(tmp_path), events.schema, "events.parquet")
+
+
+def test_the_change_log_compacts_itself(spark, rows, tmp_path):
+    schema = "k long, v long, gone boolean"
+    copy = jobs.ChangeLogSync(spark, ["k"], "v", "gone", spark.createDataFrame([], schema).schema, str(tmp_path), compact_every=3)
+    for batch in range(7):
+        copy.write_batch(spark.createDataFrame([(batch % 2, batch, batch == 6)], schema), batch)
+    assert copy._finished("base", "through") == [2, 5] and rows(copy.current(), "k", "v") == [(1, 5)]
+
+
+def test_any_error_counts_as_no_rows(spark, rows):
+    polls = spark.createDataFrame([(1, 0, 1, "ONLINE", 90, "other"), (2, 0, 1, "ONLINE", 90, None)],
+                                  "sync long, at long, ord long, state string, rows long, error string")
+    assert rows(sync.sync_outcome(polls, "sync", "at", "ord", expected_rows=50, timeout_seconds=60), "sync", "outcome") == [
+        (1, "waiting"), (2, "ready")]
