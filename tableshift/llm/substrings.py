@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableshift.llm.fm_index import FmIndex
+from tableshift.llm.tidy import shuffles_removed
 from tableshift.llm.words import chunks, runs, sliding_min, within
-from tableshift.session import counted_step, cut_lineage
+from tableshift.session import cut_lineage
 
 
 def _segments(x, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,28 +68,32 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
         digest = hashlib.blake2b(words, digest_size=16).digest()
         return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for id_, hash_, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "wanted"))):
-                words = (text or "").encode().split()
-                for w in wanted:
-                    key, first, count, hot = w["key"], w["first"], w["windows"], w["hot"]
+            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+            places, listed, rows = batch.column("wanted").offsets.to_pylist(), batch.column("wanted").values, []
+            fields = [listed.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("key", "first", "windows", "hot")]
+            for d, text in enumerate(batch.column("text")):
+                words = (text.as_py() or "").encode().split()
+                for key, first, count, hot in zip(*(f[places[d]:places[d + 1]] for f in fields)):
                     if first + count + window - 1 > len(words):
                         continue  # another text under the same id and hash
                     if hot:
                         for at in range(first, first + count):
                             some = b" ".join(words[at:at + window])
                             mark, route = marks(some)
-                            rows.append((route, mark, id_, hash_, at, some))
+                            rows.append((route, mark, ids[d], hashes[d], at, some))
                     else:
                         some = b" ".join(words[first:first + count + window - 1])
-                        rows.append((key, marks(some)[0], id_, hash_, first, some))
+                        rows.append((key, marks(some)[0], ids[d], hashes[d], first, some))
                 if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                    yield packed(rows)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                yield packed(rows)
     return texts.select("doc_id", "text_hash", "text", "wanted").mapInArrow(
         run, "route bigint, mark bigint, doc_id bigint, text_hash int, first int, words binary")
 
@@ -154,6 +159,11 @@ def _spans(met: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, window: int, anchor: int, hot: int, shard_bytes: int) -> DataFrame:
     """(doc_id, text_hash, spans) of the documents that have something to remove; ``docs`` has doc_id, text_hash, text."""
+    with shuffles_removed(docs.sparkSession):
+        return _repeated_spans(docs, window, anchor, hot, shard_bytes)
+
+
+def _repeated_spans(docs: DataFrame, window: int, anchor: int, hot: int, shard_bytes: int) -> DataFrame:
     anchors = _anchors(docs, window, anchor)
     shared = cut_lineage(anchors.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count(F.lit(1)).alias("n"))
                          .filter("x < y").select("key", (F.col("n") > hot).alias("hot")))
