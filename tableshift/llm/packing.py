@@ -11,6 +11,7 @@ Token ids are made once, in parts of the input; only counts per (queue, part) ar
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,6 +26,7 @@ from tableshift.session import cut_lineage
 
 SMALLEST_SHARE = 256  # a source with 1/256 of the bytes has a queue of its own
 REST = -1
+_MARKS = string.punctuation.encode()
 _tokenizers: dict = {}
 
 
@@ -59,7 +61,7 @@ class WordTokenizer:
         new = words - known.keys()
         for w in new & older.keys():
             known[w] = older[w]
-        # A-Z and a-z have equal ids, and a last full stop or comma after a letter or digit is a piece of its own.
+        # A-Z and a-z have equal ids, and the marks at the end, after a letter or digit, are a piece of their own.
         stems = {w: self._stem(w) for w in new if w not in known}
         missing = {stem for stem, _ in stems.values()} | {end for _, end in stems.values() if end}
         missing -= known.keys()
@@ -70,14 +72,20 @@ class WordTokenizer:
             known[w] = known[stem] + known[end] if end else known[stem]
 
     def _ask(self, words: list[bytes]) -> None:
-        """Encode new words. Words of letters only are one piece each: many go as one text, cut at the ids that end a piece."""
-        letters, others = [], []
+        """Encode new words. A word of letters only is one piece: the merges alone decide if it is ASCII in lower case, and other such
+        words go as one text, cut at the ids that end a piece."""
+        letters, others, merge = [], [], self.library.model.tokenize
         for w in words:
             text = w.decode()
-            (letters if text.isalpha() else others).append((w, text))
+            if w.isalpha() and w.islower():  # of bytes: ASCII
+                ids = [t.id for t in merge(text)]
+                self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                (letters if text.isalpha() else others).append((w, text))
         for k in range(0, len(letters), 4096):
             some = letters[k:k + 4096]
-            ids = np.array(self.library.encode(" ".join([t for _, t in some]), add_special_tokens=False).ids, "<u4")
+            whole, = self.library.encode_batch_fast([" ".join([t for _, t in some])], add_special_tokens=False)
+            ids = np.array(whole.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some):
                 raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
@@ -90,8 +98,9 @@ class WordTokenizer:
     @staticmethod
     def _stem(word: bytes) -> tuple[bytes, bytes]:
         word = word.lower()  # of bytes: A-Z only
-        if word[-1] in b".," and word[-2:-1].isalnum():
-            return word[:-1], word[-1:]
+        rest = word.rstrip(_MARKS)
+        if rest and len(rest) < len(word) and (rest[-1:].isalnum() or rest[-1] > 127 and rest.decode()[-1].isalpha()):
+            return rest, word[len(rest):]
         return word, b""
 
 
