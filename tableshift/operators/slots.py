@@ -58,9 +58,12 @@ def last_before(df: DataFrame, keys: Sequence[str], time: str, value: Column, *,
                 tie: Sequence[str] = (), slot_micros: int | None = None) -> DataFrame:
     """Add ``name``: the newest non-NULL ``value`` strictly before each row of its key, in (time, tie) order.
 
-    The slot width is measured unless given.
+    A row without a moment is before and after nothing: it gets NULL, and stays where it is, so many of them never meet in
+    one task. The slot width is measured unless given.
     """
     keys = list(keys)
+    timeless = df.filter(F.col(time).isNull())
+    df = df.filter(F.col(time).isNotNull())
     slot_micros = slot_micros or choose_slot(df, keys, time)
     order = [time, *tie]
     cut, group = with_groups(df.withColumn("_value", value), keys, time, slot_micros)
@@ -72,8 +75,8 @@ def last_before(df: DataFrame, keys: Sequence[str], time: str, value: Column, *,
     summary = cut.groupBy(*group).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), rank)).alias("_carry"))
     earlier = Window.partitionBy(*group[:-1]).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(*group, F.last("_carry", ignorenulls=True).over(earlier).alias("_far"))
-    return (near.join(carried, group)
-            .withColumn(name, F.coalesce("_near", "_far")).drop(*group, "_value", "_near", "_far"))
+    found = near.join(carried, group).withColumn(name, F.coalesce("_near", "_far")).drop(*group, "_value", "_near", "_far")
+    return found.unionByName(timeless.withColumn(name, F.lit(None).cast(found.schema[name].dataType)))
 
 
 def write_gaps(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str] = (), slot_micros: int | None = None) -> DataFrame:

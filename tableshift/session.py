@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     # Sessions of one key meet inside a task first, so a hot key sends few rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Streams keep their state on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -32,14 +35,8 @@ def sized_for(total_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, s
 
     Adaptive execution merges partitions that turn out small, and splits skewed ones, but never adds any.
     """
-    partitions = max(200, -(-total_bytes // partition_bytes))
-    large = total_bytes > 1 << 40
-    settings = {"spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
-                "spark.sql.files.maxPartitionBytes": str((256 if large else 128) << 20)}
-    if large:  # streams keep their state on disk, not in the executors' heap
-        settings["spark.sql.streaming.stateStore.providerClass"] = (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return settings
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-total_bytes // partition_bytes))),
+            "spark.sql.files.maxPartitionBytes": str(partition_bytes)}
 
 
 def shared_folder(spark: SparkSession) -> str:
