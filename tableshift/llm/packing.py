@@ -61,7 +61,8 @@ class WordTokenizer:
         new = words - known.keys()
         for w in new & older.keys():
             known[w] = older[w]
-        # A-Z and a-z have equal ids, and the marks at the end, after a letter or digit, are a piece of their own.
+        # In a word of ASCII alone A-Z and a-z have equal ids, and the marks at the end, after a letter or digit, are a piece of their
+        # own. Elsewhere NFC or lower-casing may make marks of letters and letters of marks, so other words are encoded whole.
         stems = {w: self._stem(w) for w in new if w not in known}
         missing = {stem for stem, _ in stems.values()} | {end for _, end in stems.values() if end}
         missing -= known.keys()
@@ -97,9 +98,11 @@ class WordTokenizer:
 
     @staticmethod
     def _stem(word: bytes) -> tuple[bytes, bytes]:
-        word = word.lower()  # of bytes: A-Z only
+        if not word.isascii():
+            return word, b""
+        word = word.lower()
         rest = word.rstrip(_MARKS)
-        if rest and len(rest) < len(word) and (rest[-1:].isalnum() or rest[-1] > 127 and rest.decode()[-1].isalpha()):
+        if rest and len(rest) < len(word) and rest[-1:].isalnum():
             return rest, word[len(rest):]
         return word, b""
 

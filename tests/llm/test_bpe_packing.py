@@ -79,6 +79,24 @@ def test_words_are_tokenized_like_whole_texts(text):
 
 
 WORDS_TOKENIZER = WordTokenizer(WORDS_PATH, most=50)
+#: A last letter that NFC or lower-casing turns into letter and mark, and capitals whose mark only the small letter joins.
+TURNED = ["\u09b9\u09df,", "\u09ac\u09a1\u09bc,", "\u09a1\u09dc.", "\u09dd!", "\u092a\u0939\u093e\u095c,", "BELED\u0130YES\u0130:", "\u0130,", "\ufb2a.",
+          "H\u0331", "T\u0308,", "W\u030a", "Y\u030a.", "J\u030c", "aH\u0331b,", "J\u030cE", "\u03a3\u0391\u03a3,", "\u00c9t\u00e9."]
+
+
+@pytest.mark.parametrize("word", TURNED)
+def test_words_turned_by_the_normaliser_equal_the_library(word):
+    texts, library = [word, f"x {word} X", word.lower()], WORDS_TOKENIZER.library
+    for ids, t in zip(WordTokenizer(WORDS_PATH).encode(texts), texts):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_every_letter_before_a_mark_equals_the_library():
+    letters = [chr(c) for c in range(128, 0x110000) if chr(c).isalpha() and not 0x3400 <= c < 0xd800 and c < 0x20000]
+    texts = [f"a{x}," for x in letters] + [f"A{x}" for x in letters]
+    library = WORDS_TOKENIZER.library.encode_batch(texts, add_special_tokens=False)
+    own = WordTokenizer(WORDS_PATH).encode(texts)
+    assert [t for t, a, b in zip(texts, own, library) if np.frombuffer(a, "<u4").tolist() != b.ids] == []
 
 
 @settings(max_examples=100, deadline=None)
