@@ -1,12 +1,16 @@
 """Mixture-controlled packing: deficit round-robin over source queues fills every window to target token proportions.
 
-Each source with at least 1/256 of the bytes has a queue, all others share one. In every window a queue is owed its share of
+Each source that is owed at least one token in every window has a queue. In every window a queue is owed its share of
 the window's tokens. What whole tokens leave over or short is its deficit (always under one token), carried to the next
 window. Served in queue order, the tokens taken from the first queues up to any window are the rounded-down share of all tokens
 so far, a closed form. So any task can serve any part of any queue: deficits pass between windows and partitions without a
 sequential pass. All queues end together, every window but the last is full, and each token lies in one piece.
 
-Token ids are made once, in parts of the input; only counts per (queue, part) are summed to place the parts in their queues.
+Smaller sources share one more queue, in which every document waits for the moment when its source has been served up to it: the
+share of the source's tokens before it. So at any moment each of them is within a document of its own share. If even all of them
+are owed less than a token a window, that queue is dealt into the largest source's in the same closed form.
+
+Token ids are made once, in parts of the input; only counts per (source, part) are summed to place the parts in their queues.
 """
 
 from __future__ import annotations
@@ -24,8 +28,6 @@ from pyspark.sql import functions as F
 
 from tableshift.session import cut_lineage
 
-SMALLEST_SHARE = 256  # a source with 1/256 of the bytes has a queue of its own
-REST = -1
 _MARKS = string.punctuation.encode()
 _tokenizers: dict = {}
 
@@ -114,24 +116,12 @@ def tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def _queues(docs: DataFrame, source: str, text: str) -> DataFrame:
-    """(source, queue) of the sources with enough bytes: at most ``SMALLEST_SHARE`` rows."""
-    sizes = cut_lineage(docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).agg(
-        F.sum(F.octet_length(F.coalesce(F.col(text).cast("string"), F.lit(""))) + 1).alias("bytes")))
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
-    large = sizes.filter(F.col("bytes") * SMALLEST_SHARE >= total).select("source").collect()
-    return docs.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(sorted(large))], "source string, queue int")
-
-
 def tokenized(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text",
               source_column: str = "source") -> DataFrame:
-    """(doc_id, queue, part, at, n, ids), written to the shared folder. ``at`` counts a part's earlier tokens of the queue."""
-    queues = _queues(docs, source_column, text_column)
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("source"),
-                       F.col(text_column).cast("string").alias("text"))
+    """(doc_id, source, part, at, n, ids), written to the shared folder. ``at`` counts a part's earlier tokens of the source."""
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"),
+                       F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("source"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = (rows.join(F.broadcast(queues), "source", "left")  # at most SMALLEST_SHARE rows
-            .select("doc_id", "text", F.coalesce("queue", F.lit(REST)).alias("queue")))
     end = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,14 +131,48 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id"
                 some = batch.slice(k, 512)
                 ids = [x + end for x in own.encode([t or "" for t in some.column("text").to_pylist()])]
                 counts, at = [len(x) // 4 for x in ids], []
-                for q, n in zip(some.column("queue").to_pylist(), counts):
-                    at.append(filled.get(q, 0))
-                    filled[q] = at[-1] + n
+                for s, n in zip(some.column("source").to_pylist(), counts):
+                    at.append(filled.get(s, 0))
+                    filled[s] = at[-1] + n
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), some.column("queue"), pa.array([part] * len(ids), pa.int32()), pa.array(at, pa.int64()),
-                     pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "queue", "part", "at", "n", "ids"])
+                    [some.column("doc_id"), some.column("source"), pa.array([part] * len(ids), pa.int32()), pa.array(at, pa.int64()),
+                     pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "part", "at", "n", "ids"])
+
+    return cut_lineage(rows.mapInArrow(encode, f"doc_id {kind}, source string, part int, at bigint, n bigint, ids binary"))
 
-    return cut_lineage(rows.mapInArrow(encode, f"doc_id {kind}, queue int, part int, at bigint, n bigint, ids binary"))
+
+def _placed(parts: DataFrame, *by: str) -> DataFrame:
+    """(by, part, from) of written (by, part, n): the tokens in earlier parts. Summed in two steps, so that no task meets all parts."""
+    parts = parts.withColumn("block", F.shiftright("part", 10))
+    earlier = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = parts.groupBy(*by, "block").agg(F.sum("n").alias("block_n"))
+    blocks = blocks.select(*by, "block", F.coalesce(F.sum("block_n").over(earlier(*by).orderBy("block")), F.lit(0)).alias("block_from"))
+    return (parts.join(blocks, [*by, "block"])
+            .select(*by, "part", (F.col("block_from") + F.coalesce(F.sum("n").over(earlier(*by, "block").orderBy("part")), F.lit(0))).alias("from")))
+
+
+def _in_turn(rest: DataFrame, seed: int = 7) -> DataFrame:
+    """Place documents (doc_id, source, part, at, n, ids, from, of) in one queue (doc_id, n, ids, first): a document's turn is the share
+    of its source's tokens before a point in it, drawn by a hash of the source."""
+    unit = F.shiftrightunsigned(F.xxhash64("source", F.lit(seed)), 11) / F.lit(float(1 << 53))
+    kind = rest.schema["doc_id"].dataType.simpleString()
+    order = ["turn", "source", "part", "at"]
+    rows = (rest.withColumn("turn", (F.col("from") + F.col("at") + unit * F.col("n")) / F.col("of"))
+            .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n", "ids"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, filled = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            ends = filled + np.cumsum(n)
+            if len(n):
+                filled = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([part] * len(n), pa.int32()), pa.array(ends - n), batch.column("n"),
+                                              batch.column("ids")], ["doc_id", "part", "at", "n", "ids"])
+
+    rows = cut_lineage(rows.mapInArrow(number, f"doc_id {kind}, part int, at bigint, n bigint, ids binary"))
+    one = cut_lineage(rows.groupBy("part").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0)))  # one row per task
+    return rows.join(cut_lineage(_placed(one, "all")), "part").select("doc_id", "n", "ids", (F.col("from") + F.col("at")).alias("first"))
 
 
 class Mixture:
@@ -187,6 +211,18 @@ class Mixture:
             early = self.taken(guess + 1, queue) <= token
         return guess
 
+    def pieces(self, a: np.ndarray, b: np.ndarray, queue: int) -> tuple[np.ndarray, ...]:
+        """Stretches from token a to b of the queue, cut at windows: (row, begin, end, window, place in the window) of each piece."""
+        w, last = self.window_of(a, queue), self.window_of(b - 1, queue)
+        each = last - w + 1
+        row = np.repeat(np.arange(len(a)), each)
+        window = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + w[row]
+        ahead, opens, closes = self.before(window, queue), self.taken(window, queue), self.taken(window + 1, queue)
+        begin, end = np.maximum(opens, a[row]), np.minimum(closes, b[row])
+        place = self.before(window + 1, queue) - ahead + begin - opens
+        some = end > begin  # a window may owe the queue nothing
+        return row[some], begin[some], end[some], window[some], place[some]
+
 
 def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, id_column: str = "doc_id", text_column: str = "text",
          source_column: str = "source", with_ids: bool = False) -> DataFrame:
@@ -199,51 +235,50 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, id_colum
     spark = docs.sparkSession
     tokens = tokenized(docs, path, end_id, id_column, text_column, source_column)
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    parts = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")).withColumn("block", F.shiftright("part", 10))
-    parts = cut_lineage(parts)
-    # Sums before each part in two steps, so that no task meets all parts of a queue.
-    blocks = parts.groupBy("queue", "block").agg(F.sum("n").alias("block_n"))
-    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("queue", "block", F.coalesce(F.sum("block_n").over(earlier("queue").orderBy("block")), F.lit(0)).alias("block_from"))
-    places = (parts.join(blocks, ["queue", "block"])
-              .select("queue", "part", (F.col("block_from") + F.coalesce(F.sum("n").over(earlier("queue", "block").orderBy("part")), F.lit(0))).alias("from")))
-    places = cut_lineage(places)
-    counts = {r[0]: r[1] for r in parts.groupBy("queue").agg(F.sum("n")).collect()}  # at most SMALLEST_SHARE + 1
-    total = sum(counts.values())
-    # A queue that is owed less than a token per window shares one with others like it.
-    groups = [[q] for q in sorted(counts) if counts[q] * size >= total]
-    small = [q for q in sorted(counts) if counts[q] * size < total]
-    if small and (sum(counts[q] for q in small) * size >= total):
-        groups.append(small)
-    elif small:
-        groups[0] += small
-    mixture = Mixture([sum(counts[q] for q in g) for g in groups], size)
-    moved = {q: (j, sum(counts[x] for x in g[:g.index(q)])) for j, g in enumerate(groups) for q in g}
+    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+    schema += ", ids binary" if with_ids else ""
+    parts = cut_lineage(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")))
+    sizes = cut_lineage(parts.groupBy("source").agg(F.sum("n").alias("of")))
+    total = sizes.agg(F.sum("of")).first()[0] or 0
+    if not total:
+        return spark.createDataFrame([], schema)
+    # Sources that are owed a token per window: at most ``size``. With none of them the rest is the only queue.
+    large = sorted(sizes.filter(F.col("of") >= -(-total // size)).collect())
+    counts = [r[1] for r in large]
+    rest, inner, host = total - sum(counts), None, -1
+    if rest and large and rest * size < total:
+        host = counts.index(max(counts))
+        inner = Mixture([counts[host], rest], -(-(counts[host] + rest) // rest))
+        counts[host] += rest
+    elif rest:
+        counts.append(rest)
+    mixture, rest_queue = Mixture(counts, size), len(large)
+    queues = spark.createDataFrame([(r[0], i) for i, r in enumerate(large)], "source string, queue int")
+    places = cut_lineage(_placed(parts, "source").join(sizes, "source").join(F.broadcast(queues), "source", "left"))  # at most ``size`` rows
+
+    def pieces(a: np.ndarray, b: np.ndarray, q: int) -> tuple[np.ndarray, ...]:
+        if inner is None or q not in (host, rest_queue):
+            return mixture.pieces(a, b, q)
+        # Cut by the rest's turns in the largest queue first, then by windows.
+        outer, begin, end, turn, place = inner.pieces(a, b, int(q == rest_queue))
+        at = turn * inner.size + place
+        row, x, y, window, place = mixture.pieces(at, at + end - begin, host)
+        shift = (begin - at)[row]
+        return outer[row], x + shift, y + shift, window, place
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
                 some = batch.slice(k, 1024)
-                queue = some.column("queue").to_numpy()
-                first = some.column("from").to_numpy() + some.column("at").to_numpy()
+                queue, first = some.column("queue").to_numpy(), some.column("first").to_numpy()
                 n, ids = some.column("n").to_numpy(), some.column("ids")
-                rows, starts, lengths, windows, offsets = [], [], [], [], []
+                found = []
                 for q in np.unique(queue).tolist():
-                    j, shift = moved[q]
                     own = np.flatnonzero(queue == q)
-                    a = first[own] + shift
-                    b = a + n[own]
-                    w, last = mixture.window_of(a, j), mixture.window_of(b - 1, j)
-                    each = last - w + 1
-                    doc = np.repeat(np.arange(len(own)), each)
-                    window = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + w[doc]
-                    opens, closes = mixture.taken(window, j), mixture.taken(window + 1, j)
-                    begin, end = np.maximum(opens, a[doc]), np.minimum(closes, b[doc])
-                    place = mixture.before(window + 1, j) - mixture.before(window, j) + begin - opens
-                    some_tokens = end > begin  # a window may owe the queue nothing
-                    for out, x in ((rows, own[doc]), (starts, begin - a[doc]), (lengths, end - begin), (windows, window), (offsets, place)):
-                        out.append(x[some_tokens])
-                rows, starts, lengths, windows, offsets = map(np.concatenate, (rows, starts, lengths, windows, offsets))
+                    a = first[own]
+                    doc, begin, end, window, place = pieces(a, a + n[own], q)
+                    found.append((own[doc], begin - a[doc], end - begin, window, place))
+                rows, starts, lengths, windows, offsets = map(np.concatenate, zip(*found))
                 cuts = [ids[r].as_py()[4 * s:4 * (s + m)] for r, s, m in zip(rows.tolist(), starts.tolist(), lengths.tolist())]
                 arrays = [some.column("doc_id").take(pa.array(rows)), pa.array(starts), pa.array(lengths),
                           pa.array([zlib.crc32(c) for c in cuts], pa.int64()), pa.array(n[rows]), pa.array(windows), pa.array(offsets)]
@@ -252,12 +287,13 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, id_colum
                     arrays, names = [*arrays, pa.array(cuts, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-    if not total:
-        return spark.createDataFrame([], schema + (", ids binary" if with_ids else ""))
-    # The places are a written table: Spark broadcasts it if it is small and shuffles by (queue, part) if not.
-    return tokens.join(places, ["queue", "part"]).select("doc_id", "queue", "at", "n", "ids", "from").mapInArrow(
-        cut, schema + (", ids binary" if with_ids else ""))
+    # The places are a written table: Spark broadcasts it if it is small and shuffles by (source, part) if not.
+    placed = tokens.join(places, ["source", "part"])
+    queued = placed.filter("queue is not null").select("doc_id", "queue", "n", "ids", (F.col("from") + F.col("at")).alias("first"))
+    if rest:
+        waiting = placed.filter("queue is null").drop("queue")
+        queued = queued.unionByName(_in_turn(waiting).withColumn("queue", F.lit(rest_queue)))
+    return queued.mapInArrow(cut, schema)
 
 
 def sequences(pieces: DataFrame, size: int = 4096, pad_id: int = 0) -> DataFrame:

@@ -174,3 +174,44 @@ def test_pack_odd_and_no_rows(docs_of, odd_rows):
 def test_many_tiny_sources_share_a_queue(docs_of):
     rows = [(i, "word " * 30, "en", "main") for i in range(300)] + [(1000 + i, None, "en", f"tiny{i}") for i in range(40)]
     check_pack(docs_of(rows), rows, 64)
+
+
+def tokens_by_window(rows, got):
+    source, counts = {r[0]: r[3] for r in rows}, defaultdict(lambda: defaultdict(int))
+    for p in got:
+        counts[source[p.doc_id]][p.sequence_id] += p.length
+    return counts, max(p.sequence_id for p in got)
+
+
+def test_300_equal_sources_each_have_a_queue(docs_of):
+    rows = [(i, "word " * 39, "en", f"s{i // 8}") for i in range(2400)]
+    counts, last = tokens_by_window(rows, check_pack(docs_of(rows), rows, 1024)[1])
+    assert len(counts) == 300
+    for own in counts.values():
+        assert {own[w] for w in range(last)} <= {2, 3, 4, 5}
+
+
+def test_small_sources_are_served_by_exact_shares(docs_of):
+    # 200 sources that are owed 0.16 tokens in a window of 64 have half of all tokens, another has the other half.
+    rows = [(i, "word " * 9, "en", f"s{i // 10}") for i in range(2000)] + [(5000 + i, "word " * 9, "en", "big") for i in range(2000)]
+    counts, last = tokens_by_window(rows, check_pack(docs_of(rows), rows, 64)[1])
+    assert {counts["big"][w] for w in range(last)} <= {31, 32, 33}
+    for name in set(counts) - {"big"}:
+        own = np.cumsum([counts[name][w] for w in range(last + 1)])
+        assert np.abs(own - 100 * np.arange(1, last + 2) / (last + 1)).max() <= 12  # a document and a window's tokens
+
+
+def test_a_rest_below_a_token_a_window_is_spread(docs_of):
+    rows = [(i, "word " * 59, "en", "main") for i in range(300)] + [(1000 + i, None, "en", f"tiny{i}") for i in range(100)]
+    _, got = check_pack(docs_of(rows), rows, 64)
+    last = max(p.sequence_id for p in got)
+    at = np.sort([p.sequence_id for p in got if p.doc_id >= 1000])
+    assert len(at) == 100 and np.abs(at - np.arange(100) * last / 100).max() < 4
+
+
+def test_sources_that_are_all_small_are_mixed(docs_of):
+    rows = [(i, "word " * 9, "en", f"s{i // 4}") for i in range(400)]
+    counts, last = tokens_by_window(rows, check_pack(docs_of(rows), rows, 64)[1])
+    for own in counts.values():
+        served = np.cumsum([own[w] for w in range(last + 1)])
+        assert np.abs(served - 40 * np.arange(1, last + 2) / (last + 1)).max() <= 12
