@@ -297,7 +297,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
 
     Documents are linked when their sets of ``width``-word shingles have ``100 * shared >= percent * union``. A text with fewer
     words is one shingle; null, empty and blank texts have none and link with nothing, nor do rows with a null id (their
-    component is null). Rows that repeat an id and a text carry the same values. Other columns are ignored,
+    component is null). Rows that repeat an id and a text carry the same values; an id that is the least of
+    several different sets joins what is linked to any of them. Other columns are ignored,
     whatever their names; an empty table gives an empty result.
     """
     m = chunks_needed(percent / 100, miss)
@@ -306,6 +307,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
     profile = cut_lineage(_profile(docs, width, symbols, seed))
     linkable = profile.filter("n > 0 and doc_id is not null")
     classes = cut_lineage(linkable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")))
+    # An id that comes with several texts may be the least of several classes: it is one node with all their sets.
+    nodes = cut_lineage(classes.groupBy("id").agg(F.sum("n").alias("n")))
     narrow = _keyed(classes, symbols)
     sizes = cut_lineage(narrow.groupBy("key").count().filter("count > 1")
                         .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
@@ -323,10 +326,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
             _by_bucket(symbols, lambda group: decide(group, distance, percent)), schema))
 
     def joined(links: DataFrame) -> DataFrame:
-        return cut_lineage(classes.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
+        return cut_lineage(nodes.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
                            .select("id", F.coalesce("component", "id").alias("component")))
 
-    own = classes.select("id", F.col("id").alias("component"))
+    own = nodes.select("id", F.col("id").alias("component"))
     found = decided(buckets(own), _nearest, "key bigint, i int, j int, a bigint, b bigint")
     links = _confirmed(cut_lineage(found.filter("b is not null").select("a", "b").distinct()), docs, width, percent)
     merged = joined(links)
@@ -336,7 +339,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
     if not unresolved.isEmpty():
         stars = decided(buckets(merged).join(unresolved, ["key", "i", "j"], "left_semi"), _stars, "a bigint, b bigint")
         clusters = cut_lineage(components(stars).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
-                               .join(merged, "id").join(classes.select("id", "n"), "id"))
+                               .join(merged, "id").join(nodes, "id"))
         parts = cut_lineage(clusters.groupBy("cluster").agg(F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
         pairs = (clusters.join(_sets(docs, clusters.select("id"), width), "id").join(parts, "cluster")

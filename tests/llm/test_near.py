@@ -187,3 +187,11 @@ def test_planned_recall():
     for n in (10, 10**4, 10**9):
         signs, tables = plan_tables(n, 0.93, 0.999)
         assert 1 - (1 - (1 - np.arccos(0.93) / np.pi) ** signs) ** tables >= 0.999
+
+
+def test_one_id_with_two_texts_gives_one_row_per_input_row(docs_of):
+    rng = random.Random(8)
+    x, y, z = (words(rng, 150, 5000) for _ in range(3))
+    rows = [(1, x), (1, y), (2, x), (3, y + " more"), (4, y), (5, z)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs_of(rows), percent=85).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False), (5, 5, True)]
