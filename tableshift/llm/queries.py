@@ -12,6 +12,7 @@ from tableshift.llm.embeddings import near_vectors
 from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.neardup import near_duplicates
 from tableshift.llm.packing import pack
+from tableshift.llm.periodic import periodic_runs, with_planted_period
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.substrings import remove_repeats
 from tableshift.llm.urls import judge_urls
@@ -161,8 +162,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, after a period is written into a tenth of them; digests of all runs and of what is left."""
+    found = periodic_runs(with_planted_period(read(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+                        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_archives, op2_substring_dedup, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
                                  op7_url_filter, op8_mixture_packing, op9_near_vectors,
-                                 op10_language_id)}
+                                 op10_language_id, op11_periodic_runs)}
 ORACLES = {"op1_warc_archives": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
            "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
