@@ -11,6 +11,7 @@ from tableshift.llm.bpe import encode_documents
 from tableshift.llm.embeddings import near_vectors
 from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.neardup import near_duplicates
+from tableshift.llm.negatives import hard_negatives
 from tableshift.llm.packing import pack
 from tableshift.llm.periodic import periodic_runs, with_planted_period
 from tableshift.llm.shard import shard_by_size
@@ -172,8 +173,30 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score 30 to 90 percent of each positive of every hundredth vector; every seventh label is shifted first."""
+    vectors = read(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_inner_product(a.e, b.e)::bigint as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, other as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5),
+n as (select anchor_id, positive_id, positive_score, other as negative_id, score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by score desc, other)::int as rank
+    from p join s using (anchor_id) where not same and 100 * score between 30 * positive_score and 90 * positive_score)
+select * from n where rank <= 10
+"""
+
 QUERIES = {f.__name__: f for f in (op1_warc_archives, op2_substring_dedup, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
                                  op7_url_filter, op8_mixture_packing, op9_near_vectors,
-                                 op10_language_id, op11_periodic_runs)}
+                                 op10_language_id, op11_periodic_runs, op12_hard_negatives)}
 ORACLES = {"op1_warc_archives": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
-           "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL}
+           "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL,
+           "op12_hard_negatives": OP12_SQL}
