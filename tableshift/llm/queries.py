@@ -14,6 +14,7 @@ from tableshift.llm.neardup import near_duplicates
 from tableshift.llm.negatives import hard_negatives
 from tableshift.llm.packing import pack
 from tableshift.llm.periodic import periodic_runs, with_planted_period
+from tableshift.llm.phrases import contamination
 from tableshift.llm.shard import shard_by_size
 from tableshift.llm.substrings import remove_repeats
 from tableshift.llm.urls import judge_urls
@@ -194,9 +195,31 @@ n as (select anchor_id, positive_id, positive_score, other as negative_id, score
 select * from n where rank <= 10
 """
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of ten consecutive words of a benchmark item, and the items."""
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_WORDS_SQL = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w"""
+OP13_SQL = f"""
+with d as (select doc_id, {_WORDS_SQL} from documents), b as (select item_id, {_WORDS_SQL} from benchmark where item_id is not null),
+p as (select item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) as i from b where len(w) > 0),
+v as (select distinct item_id, w[i:i + 9] as words from p), n as (select distinct len(words) as n from v),
+q as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, n where len(w) >= n),
+h as (select doc_id, i, n, item_id from (select doc_id, i, n, w[i:i + n - 1] as words from q) join v using (words)),
+c as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from h) group by doc_id),
+m as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items
+    from h group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join m using (doc_id)
+"""
+
 QUERIES = {f.__name__: f for f in (op1_warc_archives, op2_substring_dedup, op3_shard_by_size, op4_exact_dedup, op5_byte_bpe, op6_minhash_near_dedup,
                                  op7_url_filter, op8_mixture_packing, op9_near_vectors,
-                                 op10_language_id, op11_periodic_runs, op12_hard_negatives)}
+                                 op10_language_id, op11_periodic_runs, op12_hard_negatives,
+                                 op13_benchmark_decontamination)}
 ORACLES = {"op1_warc_archives": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op6_minhash_near_dedup": OP6_SQL,
            "op7_url_filter": OP7_SQL, "op9_near_vectors": OP9_SQL,
-           "op12_hard_negatives": OP12_SQL}
+           "op12_hard_negatives": OP12_SQL, "op13_benchmark_decontamination": OP13_SQL}
