@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tableshift.functions.times import DAY, HOUR
-from tableshift.operators import mutate
+from tableshift.functions.times import DAY, HOUR, SECOND
+from tableshift.operators import history, mutate
 from tableshift.operators.constraints import ForeignKey, Rules
 from tableshift.operators.slots import as_of_version
 from tableshift.plans import move
@@ -19,16 +19,6 @@ _LOOSE = {"exact": False}  # digests that the SQL can state
 _PLATFORM = r" (cloud_admin|platform_admin)$|__db_system"
 
 
-def _three_versions(t) -> vs.VersionStore:
-    """Orders as they were, after the drift, and after a further update, one hour apart; the second is tagged."""
-    store = vs.VersionStore(t.spark)
-    store.export({"orders": t["orders"], "customer": t["customer"]}, _COMMIT)
-    store.export({"orders": fx.drifted_orders(t)}, _COMMIT + HOUR, tag="before-cutover", keep_others=True)
-    closed = mutate.predicate_update(fx.drifted_orders(t), F.col("o_orderstatus") == "P", {"o_orderstatus": F.lit("C")})
-    store.export({"orders": closed}, _COMMIT + 2 * HOUR, keep_others=True)
-    return store
-
-
 @query(f"""
 with per_day as (select cast(floor(epoch_us(ts) / 86400000000) as bigint) as version, max(epoch_us(ts)) as committed_at, user_id % 7 as "table"
                  from events group by all)
@@ -41,21 +31,74 @@ def latest_version(t):
     return vs.latest_versions(per_day, ["table"])
 
 
-@query(f"select o_orderkey, o_custkey, o_orderstatus, o_totalprice from {q.DRIFTED_ORDERS}")
+_ERROR = "event_type = 'error'"  # deletes the user's row
+_DAY_BEFORE = fx.NOW_MICROS // DAY - 1
+
+
+def _changes(t):
+    """The events as changes of one row per user."""
+    return fx.events_log(t).select("user_id", "event_type", "value", "at", "event_id")
+
+
+def _state_sql(until: str) -> str:
+    newest = ", ".join(f"arg_max({c}, (epoch_us(ts), event_id)) as {n}" for c, n in
+                       (("event_type", "event_type"), ("value", "value"), ("epoch_us(ts)", '"at"'), ("event_id", "event_id")))
+    return f"select * from (select user_id, {newest} from events where epoch_us(ts) <= {until} group by 1) where event_type <> 'error'"
+
+
+@query(_state_sql(str(fx.NOW_MICROS - SECOND)))
 def read_as_of(t):
-    """A moment on a whole minute, at which the third version was committed, steps back to the second one."""
-    store = _three_versions(t)
-    return store.read_as_of("orders", _COMMIT + 2 * HOUR, whole_minute_step=True).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    """Every user's row at a moment on a whole minute, which is taken for the second before it."""
+    return history.state_as_of(_changes(t), ["user_id"], "at", fx.NOW_MICROS, tie=["event_id"], deleted=_ERROR, whole_minute_step=True)
 
 
-@query("""
-select o.o_orderkey, o.o_orderstatus, c.c_name from """ + q.DRIFTED_ORDERS + """ o join customer c on c_custkey = o_custkey""")
+@query(_state_sql(f"(select max(epoch_us(ts)) from events where epoch_us(ts) // {DAY} = {_DAY_BEFORE})"))
 def read_snapshot(t):
-    """A tagged version: its orders, and the customers carried over from the version before."""
-    store = _three_versions(t)
-    orders, customer = store.read_snapshot("orders", "before-cutover"), store.read_snapshot("customer", "before-cutover")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderstatus", "c_name")
+    """Every user's row at the snapshot named for a day: its last write."""
+    changes = _changes(t)
+    day = F.floor(F.col("at") / F.lit(DAY))
+    tags = changes.groupBy(F.concat(F.lit("day-"), day.cast("string")).alias("tag")).agg(F.max("at").alias("at"))
+    return history.state_at_tag(changes, ["user_id"], "at", tags, f"day-{_DAY_BEFORE}", tie=["event_id"], deleted=_ERROR)
+
+
+@query("""
+select event_id, user_id, event_type, epoch_us(ts) as valid_from, lead(epoch_us(ts)) over (partition by user_id order by ts, event_id) as valid_to
+from events""")
+def validity(t):
+    """From when to when each change of a user's row held."""
+    found = history.validity(_changes(t), ["user_id"], "at", tie=["event_id"])
+    return found.select("event_id", "user_id", "event_type", F.col("at").alias("valid_from"), "valid_to")
+
+
+_WEEK = (fx.NOW_MICROS - 7 * DAY, fx.NOW_MICROS)
+_AT = ", ".join(f"arg_max({c}, (epoch_us(ts), event_id)) filter (where epoch_us(ts) <= {m}) as {c}_{n}"
+                for m, n in zip(_WEEK, "ab") for c in ("event_type", "value"))
+
+
+@query(f"""
+with s as (select user_id, {_AT} from events where epoch_us(ts) <= {_WEEK[1]} group by 1),
+v as (select user_id, coalesce(event_type_a, 'error') <> 'error' as had, event_type_b <> 'error' as has, event_type_a, value_a, event_type_b, value_b from s)
+select user_id, case when not had then 'insert' when not has then 'delete' else 'update' end as change,
+    case when had then event_type_a end as old_type, case when had then value_a end as old_value,
+    case when has then event_type_b end as new_type, case when has then value_b end as new_value
+from v where (had or has) and (had <> has or event_type_a <> event_type_b or value_a is distinct from value_b)""")
+def net_changes(t):
+    """What became of each user's row within a week, in one pass."""
+    found = history.net_changes(_changes(t), ["user_id"], "at", *_WEEK, tie=["event_id"], deleted=_ERROR)
+    return found.select("user_id", "change", F.col("old.event_type").alias("old_type"), F.col("old.value").alias("old_value"),
+                        F.col("new.event_type").alias("new_type"), F.col("new.value").alias("new_value"))
+
+
+@query(f"""
+select event_id, user_id, event_type, is_base from (
+    select *, false as is_base from events where epoch_us(ts) >= {fx.NOW_MICROS} - 7 * {DAY}
+    union all (select *, true from events where epoch_us(ts) < {fx.NOW_MICROS} - 7 * {DAY}
+        qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1))
+where not (is_base and event_type = 'error')""")
+def history_window(t):
+    """The changes that reading at any moment of a week needs."""
+    found = history.within_history(_changes(t), ["user_id"], "at", fx.NOW_MICROS, tie=["event_id"], deleted=_ERROR)
+    return found.select("event_id", "user_id", "event_type", "is_base")
 
 
 @query("""

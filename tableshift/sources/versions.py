@@ -1,9 +1,9 @@
-"""Versioned exports: immutable table folders plus a manifest that decides what exists.
+"""Exports: plain Parquet writes of a set of tables, a read-back comparison, and a list of what was exported.
 
 Every attempt writes its tables into a fresh folder, reads them back and checks them; nothing that exists is ever
-overwritten. One manifest file per version, which names the folders, publishes them all: it is written under another name
-and then renamed to a name that must not exist yet. A failed check, a crash or a refused second writer publishes nothing and
-leaves the published versions as they are.
+overwritten. Then the rows that name the folders are written, also as Parquet. A failed check or a crash before that
+exports nothing. One writer at a time is assumed: a later one that finds its version there is refused, but no lock is held.
+Reading a table at a moment is not done by versions: see ``operators/history.py``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +22,13 @@ from pyspark.sql import types as T
 from tableshift.functions.text import any_of
 from tableshift.functions.times import DAY, SECOND
 from tableshift.operators.digest import bag_fingerprint, digest_columns
+from tableshift.operators.history import NothingThere
 from tableshift.session import work_folder
 
 MANIFEST_SCHEMA = ("version bigint, committed_at bigint, tag string, table string, rows bigint, digest string, "
                    "columns string, path string")
 
 
-class NothingThere(LookupError):
-    """No version answers the request; an empty frame would hide that."""
-
-
 class NotPublished(RuntimeError):
     """A check failed before publishing; the earlier versions are untouched."""
 
@@ -52,33 +49,21 @@ class VersionStore:
         path = f"{self.root}/manifest"
         if not self._exists(path):
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.schema(MANIFEST_SCHEMA).option("pathGlobFilter", "version=*.json").json(path)
+        return self.spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
     def _exists(self, path: str) -> bool:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
     def _publish(self, version: int, entries: Sequence[Sequence]) -> None:
-        """Create the version's manifest in one step, unless there is one."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        names = [c.split()[0] for c in MANIFEST_SCHEMA.split(", ")]
-        text = "\n".join(json.dumps(dict(zip(names, e))) for e in entries)
-        draft = hadoop.Path(f"{self.root}/manifest/_draft-{uuid.uuid4().hex}")
-        final = hadoop.Path(f"{self.root}/manifest/version={version}.json")
-        files = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        out = files.create(draft, False)
-        out.write(bytearray(text.encode()))
-        out.close()
-        none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        """Write the version's manifest, a folder of its own; Spark shows it when it is complete, and refuses one that is there."""
+        rows = self.spark.createDataFrame([tuple(e) for e in entries], MANIFEST_SCHEMA).coalesce(1)
         try:
-            if files.exists(final):
-                raise NotPublished(f"version {version} was published by another writer")
-            hadoop.FileContext.getFileContext(files.getUri(), self.spark._jsc.hadoopConfiguration()).rename(
-                files.makeQualified(draft), files.makeQualified(final), none)  # refuses an existing name
-        except Py4JJavaError as e:
+            rows.write.mode("errorifexists").parquet(f"{self.root}/manifest/{version}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
             raise NotPublished(f"version {version} was published by another writer") from e
-        finally:
-            files.delete(draft, False)
 
     def latest_version(self) -> int | None:
         newest = latest_versions(self.manifest()).first()
@@ -131,9 +116,8 @@ class VersionStore:
         return table, back["rows"], back["digest"], df.schema.json(), path
 
     def _entries(self, version: int):
-        """One row per table of the version, from its own manifest file."""
-        path = f"{self.root}/manifest/version={version}.json"
-        return self.spark.read.schema(MANIFEST_SCHEMA).json(path).collect() if self._exists(path) else []
+        """One row per table of the version."""
+        return self.manifest().filter(F.col("version") == version).collect()
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         version = self.latest_version() if version is None else version
@@ -150,27 +134,6 @@ class VersionStore:
         version = self.latest_version() if version is None else version
         return {e["table"]: self._open(e["columns"], e["path"]) for e in self._entries(version)} if version else {}
 
-    def version_as_of(self, moment: int, whole_minute_step: bool = False) -> int:
-        """The newest version committed at or before the moment (microseconds)."""
-        if whole_minute_step and moment % (60 * SECOND) == 0:
-            moment -= SECOND
-        found = self.manifest().filter(F.col("committed_at") <= moment).agg(F.max("version")).first()[0]
-        if found is None:
-            raise NothingThere("the moment is before the first version")
-        return found
-
-    def version_tagged(self, tag: str) -> int:
-        found = self.manifest().filter(F.col("tag") == tag).agg(F.max("version")).first()[0]
-        if found is None:
-            raise NothingThere(f"no version is tagged {tag}")
-        return found
-
-    def read_as_of(self, table: str, moment: int, whole_minute_step: bool = False) -> DataFrame:
-        return self.read(table, self.version_as_of(moment, whole_minute_step))
-
-    def read_snapshot(self, table: str, tag: str) -> DataFrame:
-        return self.read(table, self.version_tagged(tag))
-
 
 def latest_versions(versions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(…by, version, committed_at) of the newest (version, committed_at), none for no versions."""

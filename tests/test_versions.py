@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tableshift.functions.times import HOUR, MINUTE
+from tableshift.functions.times import HOUR
 from tableshift.operators.constraints import Rules
 from tableshift.operators.digest import bag_fingerprint
 from tableshift.operators.mutate import add_column
@@ -23,26 +23,14 @@ def test_export_read_and_tags(spark, store, rows):
     assert store.export({"a": spark.range(3), "b": spark.range(2)}, T0, tag="first") == 1
     assert store.export({"a": spark.range(5)}, T0 + HOUR, keep_others=True) == 2
     assert store.read("a").count() == 5 and store.read("b").count() == 2 and store.read("a", 1).count() == 3
-    assert store.read_snapshot("a", "first").count() == 3
+    assert rows(store.manifest().filter("tag = 'first'"), "table") == [("a",), ("b",)]
     assert rows(store.manifest(), "version", "table", "rows") == [(1, "a", 3), (1, "b", 2), (2, "a", 5), (2, "b", 2)]
-    with pytest.raises(vs.NothingThere):
-        store.read_snapshot("a", "no such tag")
     with pytest.raises(vs.NothingThere):
         store.read("c")
     with pytest.raises(vs.NotPublished, match="after"):
         store.export({"a": spark.range(1)}, T0)
 
 
-def test_as_of(spark, store):
-    store.export({"a": spark.range(1)}, T0)
-    store.export({"a": spark.range(2)}, T0 + MINUTE)
-    with pytest.raises(vs.NothingThere, match="before the first version"):
-        store.read_as_of("a", T0 - 1)
-    assert store.version_as_of(T0) == 1 and store.version_as_of(T0 + MINUTE - 1) == 1
-    assert store.version_as_of(T0 + MINUTE) == 2 and store.version_as_of(T0 + MINUTE, whole_minute_step=True) == 1
-    assert store.version_as_of(T0 + MINUTE + 1, whole_minute_step=True) == 2
-
-
 def test_failed_validation_publishes_nothing(spark, store):
     store.export({"a": spark.range(3)}, T0)
     with pytest.raises(vs.NotPublished):
