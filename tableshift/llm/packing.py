@@ -15,6 +15,7 @@ Token ids are made once, in parts of the input; only counts per (source, part) a
 
 from __future__ import annotations
 
+import re
 import string
 import struct
 import zlib
@@ -22,21 +23,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableshift.llm.words import LOWER
 from tableshift.session import cut_lineage
 
 _MARKS = string.punctuation.encode()
+#: What may keep a word from being lower-cased and cut before it is normalised: characters from U+0300 on, which may join others or be
+#: changed by NFC, and U+0130, which becomes a letter and a mark.
+_NORMALISED = re.compile(rb"[\xcc-\xff]|\xc4\xb0")
+#: The letters that byte-level tokenizers write for bytes: printable ones for themselves, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _tokenizers: dict = {}
 
 
+class _Known(dict):
+    """Ids of words met since the last change of generation; a missing one is made."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: bytes) -> bytes:
+        self[word] = ids = self.make(word)
+        return ids
+
+
 class WordTokenizer:
-    """Ids of texts by a tokenizer file whose pieces never span ASCII blanks: each run of other characters is encoded once
-    and remembered, in two generations of bounded size."""
+    """Ids of texts by a byte-level tokenizer file that lower-cases and whose pieces never span ASCII blanks: each run of other
+    characters is encoded once and remembered, in two generations of bounded size.
 
-    def __init__(self, path: str, most: int = 300_000):
+    In words without any of ``_NORMALISED`` the normaliser does no more than lower-case letter by letter. So letters A-Z may be
+    lower-cased before it, the marks at the end, after a letter or digit, are a piece of their own, and the merges alone decide about a
+    word of letters only. Other words are encoded whole by the library.
+    """
+
+    def __init__(self, path: str, most: int = 200_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,69 +69,69 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.most, self.known, self.older = most, {}, {}
-        vocabulary = self.library.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.most, self.known, self.older = most, _Known(self._make), {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.encode().split() for t in texts]  # bytes are split at ASCII blanks only
-        self._learn(set().union(*words))
-        known = self.known.__getitem__
-        return [b"".join(map(known, w)) for w in words]
-
-    def _learn(self, words: set[bytes]) -> None:
+        ids, bounds = self.encode_array(pa.array(texts, pa.string()))
+        raw, bounds = ids.tobytes(), (4 * bounds).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_array(self, texts: pa.Array, *last: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, each followed by ``last``; where each begins and the last one ends). Nulls are empty.
+
+        The different words of the texts are looked up once, and their ids gathered for every place.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        raw = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        small = LOWER[raw]
+        normalised = raw >= 0xCC
+        normalised[:-1] |= (raw[:-1] == 0xC4) & (raw[1:] == 0xB0)
+        for d in np.unique(np.searchsorted(bounds, np.flatnonzero(normalised), "right") - 1).tolist():
+            small[bounds[d]:bounds[d + 1]] = raw[bounds[d]:bounds[d + 1]]
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(bounds), pa.py_buffer(small)]))
+        words = split.flatten()
+        real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # blanks at an end leave an empty word
+        ends = np.concatenate(([0], np.cumsum(real)))[split.offsets.to_numpy()] if len(texts) else np.zeros(1, np.int64)
+        coded = words.filter(pa.array(real)).dictionary_encode()
+        each = list(map(self.known.__getitem__, coded.dictionary.cast(pa.large_binary()).to_pylist()))
         if len(self.known) > self.most:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        new = words - known.keys()
-        for w in new & older.keys():
-            known[w] = older[w]
-        # In a word of ASCII alone A-Z and a-z have equal ids, and the marks at the end, after a letter or digit, are a piece of their
-        # own. Elsewhere NFC or lower-casing may make marks of letters and letters of marks, so other words are encoded whole.
-        stems = {w: self._stem(w) for w in new if w not in known}
-        missing = {stem for stem, _ in stems.values()} | {end for _, end in stems.values() if end}
-        missing -= known.keys()
-        for x in missing & older.keys():
-            known[x] = older[x]
-        self._ask([x for x in missing if x not in known])
-        for w, (stem, end) in stems.items():
-            known[w] = known[stem] + known[end] if end else known[stem]
-
-    def _ask(self, words: list[bytes]) -> None:
-        """Encode new words. A word of letters only is one piece: the merges alone decide if it is ASCII in lower case, and other such
-        words go as one text, cut at the ids that end a piece."""
-        letters, others, merge = [], [], self.library.model.tokenize
-        for w in words:
-            text = w.decode()
-            if w.isalpha() and w.islower():  # of bytes: ASCII
-                ids = [t.id for t in merge(text)]
-                self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                (letters if text.isalpha() else others).append((w, text))
-        for k in range(0, len(letters), 4096):
-            some = letters[k:k + 4096]
-            whole, = self.library.encode_batch_fast([" ".join([t for _, t in some])], add_special_tokens=False)
-            ids = np.array(whole.ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                self.known.update((w, raw[a:b]) for (w, _), a, b in zip(some, at, at[1:]))
-            else:
-                others += some
-        for (w, _), e in zip(others, self.library.encode_batch_fast([t for _, t in others], add_special_tokens=False)):
-            self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    @staticmethod
-    def _stem(word: bytes) -> tuple[bytes, bytes]:
-        if not word.isascii():
-            return word, b""
-        word = word.lower()
-        rest = word.rstrip(_MARKS)
-        if rest and len(rest) < len(word) and rest[-1:].isalnum():
-            return rest, word[len(rest):]
-        return word, b""
+            self.older, self.known = self.known, _Known(self._make)
+        pool, lengths, codes = np.frombuffer(b"".join(each), "<u4"), np.array([len(x) // 4 for x in each], np.int64), coded.indices.to_numpy()
+        starts, counts = (np.cumsum(lengths) - lengths)[codes], lengths[codes]
+        filled = np.concatenate(([0], np.cumsum(counts)))
+        own = np.diff(filled[ends])
+        result_bounds = np.concatenate(([0], np.cumsum(own + len(last))))
+        result = np.empty(int(result_bounds[-1]), "<u4")
+        shift = np.repeat(np.arange(len(own)) * len(last), own)
+        result[np.arange(len(shift)) + shift] = pool[np.arange(len(shift)) + np.repeat(starts - filled[:-1], counts)]
+        for k, x in enumerate(last):
+            result[result_bounds[1:] - len(last) + k] = x
+        return result, result_bounds
+
+    def _make(self, word: bytes) -> bytes:
+        if word in self.older:
+            return self.older[word]
+        if not word.isascii() and _NORMALISED.search(word):
+            return self._ask(word)
+        small = word.lower()
+        if small != word:
+            return self.known[small]
+        stem = word.rstrip(_MARKS)
+        if stem and len(stem) < len(word) and (stem[-1:].isalnum() if stem[-1] < 128 else stem.decode()[-1].isalnum()):
+            return self.known[stem] + self.known[word[len(stem):]]
+        text = word.decode()
+        if not text.isalpha():
+            return self._ask(word)
+        merged = self.library.model.tokenize(text if word.isascii() else text.lower().encode().decode("latin-1").translate(_LETTERS))
+        return struct.pack(f"<{len(merged)}I", *[t.id for t in merged])
+
+    def _ask(self, word: bytes) -> bytes:
+        found, = self.library.encode_batch_fast([word.decode()], add_special_tokens=False)
+        return struct.pack(f"<{len(found.ids)}I", *found.ids)
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -122,21 +147,21 @@ def tokenized(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id"
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"),
                        F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("source"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    end = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, filled = tokenizer(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                ids = [x + end for x in own.encode([t or "" for t in some.column("text").to_pylist()])]
-                counts, at = [len(x) // 4 for x in ids], []
-                for s, n in zip(some.column("source").to_pylist(), counts):
+                ids, bounds = own.encode_array(some.column("text"), end_id)
+                counts, at = np.diff(bounds), []
+                for s, n in zip(some.column("source").to_pylist(), counts.tolist()):
                     at.append(filled.get(s, 0))
                     filled[s] = at[-1] + n
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), some.column("source"), pa.array([part] * len(ids), pa.int32()), pa.array(at, pa.int64()),
-                     pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "source", "part", "at", "n", "ids"])
+                    [some.column("doc_id"), some.column("source"), pa.array([part] * len(at), pa.int32()), pa.array(at, pa.int64()), pa.array(counts),
+                     pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(4 * bounds), pa.py_buffer(ids)]).cast(pa.binary())],
+                    ["doc_id", "source", "part", "at", "n", "ids"])
 
     return cut_lineage(rows.mapInArrow(encode, f"doc_id {kind}, source string, part int, at bigint, n bigint, ids binary"))
 
