@@ -1,11 +1,13 @@
-"""After a switch: kept writes, stranded rows, access rules."""
+"""Around a switch: kept writes, stranded rows, access rules, rebuilt branches, replication."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tableshift.operators import switchover
+from tableshift.plans import rebuild
 from tableshift.queries.registry import query
+from tableshift.sources.sides import Side
 
 _PAUSED, _RESUMED = 883_612_800_000_000, 888_710_400_000_000  # 1998-01-01 and 1998-03-01
 _OLD = f"made <= {_PAUSED} and o_orderkey % 193 <> 0 or o_orderkey % 211 = 0"
@@ -120,3 +122,84 @@ union all select 7, d, 'ALTER DEFAULT PRIVILEGES FOR ROLE ' || {_name('owner')}
 def access_rebuild(t):
     """The statements that give the new side the old side's roles, owners, grants and defaults."""
     return switchover.access_rebuild(*_access(t), system=_SYSTEM)
+
+
+_BRANCH_ORDERS = """(select o_orderkey, o_custkey, case when o_orderkey % 11 = 0 then 'B' else o_orderstatus end as o_orderstatus,
+    o_totalprice, o_orderdate, o_orderpriority from orders where o_orderkey % 41 <> 0)"""
+_NOW_ORDERS = """(select o_orderkey, case when o_orderkey % 13 = 0 then o_custkey + 1 else o_custkey end as o_custkey,
+    case when o_orderkey % 55 = 0 then 'N' else o_orderstatus end as o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    from orders where o_orderkey % 43 <> 0)"""
+
+
+def _sides(t):
+    """Production when a branch was made, the branch after edits of its own, and production now."""
+    orders, key = t["orders"], F.col("o_orderkey")
+    base = Side.of("base", {"sales": {"orders": orders, "customer": t["customer"], "supplier": t["supplier"], "nation": t["nation"]}})
+    own = orders.filter(key % 41 != 0).withColumn("o_orderstatus", F.when(key % 11 == 0, "B").otherwise(F.col("o_orderstatus")))
+    branch = Side.of("branch", {"sales": {"orders": own, "customer": t["customer"], "nation": t["nation"], "part": t["part"]}})
+    now = (orders.filter(key % 43 != 0).withColumn("o_custkey", F.when(key % 13 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+           .withColumn("o_orderstatus", F.when(key % 55 == 0, "N").otherwise(F.col("o_orderstatus"))))
+    production = Side.of("now", {"sales": {"orders": now, "customer": t["customer"], "supplier": t["supplier"], "nation": t["nation"],
+                                           "region": t["region"]}})
+    return base, branch, production
+
+
+_SALES_KEYS = {("sales", "orders"): ["o_orderkey"], ("sales", "customer"): ["c_custkey"]}
+_ZERO = ", ".join(f"0::bigint as {e}" for e in ("take", "merge", "delete", "conflict"))
+
+
+@query(f"""
+with m as (select o_orderkey as k, b.o_orderstatus as bs, b.o_custkey as bc, r.o_orderkey as rk, r.o_orderstatus as rs, n.o_orderkey as nk,
+    n.o_orderstatus as ns, n.o_custkey as nc from orders b left join {_BRANCH_ORDERS} r using (o_orderkey) left join {_NOW_ORDERS} n using (o_orderkey)),
+a as (select case
+    when rk is null and nk is null then 'gone'
+    when rk is null then case when ns <> bs or nc <> bc then 'conflict' else 'delete' end
+    when nk is null then case when rs <> bs then 'conflict' else 'gone' end
+    when rs <> bs and ns <> bs and rs <> ns then 'conflict'
+    when rs = ns and nc = bc then 'same'
+    when rs <> bs and ns = bs and nc = bc then 'take'
+    when rs <> bs then 'merge' else 'keep' end as action from m)
+select 'sales' as database, 'orders' as "table", case when count(*) filter (where action = 'conflict') > 0 then 'resolve'
+    when count(*) filter (where action in ('take', 'merge', 'delete')) > 0 then 'apply edits' else 'keep' end as action,
+    count(*) filter (where action <> 'gone') as "rows", count(*) filter (where action = 'take') as take, count(*) filter (where action = 'merge') as merge,
+    count(*) filter (where action = 'delete') as "delete", count(*) filter (where action = 'conflict') as conflict from a
+union all select 'sales', 'customer', 'keep', count(*), {_ZERO} from customer
+union all select 'sales', 'supplier', 'dropped on the branch', count(*), {_ZERO} from supplier
+union all select 'sales', 'nation', 'no key', count(*), {_ZERO} from nation
+union all select 'sales', 'part', 'load', count(*), {_ZERO} from part
+union all select 'sales', 'region', 'new in production', count(*), {_ZERO} from region""")
+def rebuild_plan(t):
+    """What to load, apply and resolve when a branch is rebuilt from newer production."""
+    return rebuild.rebuild_plan(*_sides(t), _SALES_KEYS)
+
+
+@query(f"""
+select o_orderkey, coalesce(n.o_custkey, b.o_custkey) as o_custkey, case when r.o_orderstatus <> b.o_orderstatus and n.o_orderstatus = b.o_orderstatus
+    then r.o_orderstatus else n.o_orderstatus end as o_orderstatus, n.o_totalprice
+from {_NOW_ORDERS} n join orders b using (o_orderkey) left join {_BRANCH_ORDERS} r using (o_orderkey)
+where r.o_orderkey is not null or n.o_orderstatus <> b.o_orderstatus or n.o_custkey <> b.o_custkey""")
+def rebuilt_branch(t):
+    """The orders of the rebuilt branch, with production's values where both sides changed the same."""
+    side = rebuild.rebuilt(*_sides(t), _SALES_KEYS, keep_conflicts=True)
+    return side.table("sales", "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query("""
+select 'sales' as database, 'customer' as "table", (select count(*) from customer) as "rows", 0::bigint as surplus, 0::bigint as empty_keys,
+    0::bigint as target_rows, 'none' as problem
+union all select 'sales', 'events', count(*), null, null, 0, 'no key' from events
+union all select 'sales', 'lineitem', count(*), count(*) - count(distinct (l_orderkey, l_linenumber)), 0, 0, 'key repeats' from lineitem
+union all select 'sales', 'nation', count(*), 0, 0, null, 'no target table' from nation
+union all select 'sales', 'orders', count(*), 0, 0, 0, 'columns differ' from orders
+union all select 'sales', 'part', count(*), 0, count(*) filter (where p_size = 7), 0, 'key is empty' from part
+union all select 'sales', 'supplier', count(*), 0, 0, count(*), 'target is not empty' from supplier""")
+def replication_readiness(t):
+    """Which tables row replication could keep current, and what stands in the way of the others."""
+    part = t["part"].withColumn("p_partkey", F.when(F.col("p_size") != 7, F.col("p_partkey")))
+    sales = {n: t[n] for n in ("customer", "events", "lineitem", "nation", "orders", "supplier")} | {"part": part}
+    there = {n: df.limit(0) for n, df in sales.items() if n != "nation"} | {"supplier": t["supplier"]}
+    there["orders"] = there["orders"].withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
+    keys = {"customer": ["c_custkey"], "lineitem": ["l_orderkey", "l_linenumber"], "nation": ["n_nationkey"], "orders": ["o_orderkey"],
+            "part": ["p_partkey"], "supplier": ["s_suppkey"]}
+    return rebuild.replication_readiness(Side.of("old", {"sales": sales}), Side.of("new", {"sales": there}),
+                                         {("sales", n): k for n, k in keys.items()})
