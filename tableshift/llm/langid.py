@@ -41,6 +41,13 @@ def _features(texts: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.n
         yield index, starts
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that few texts at a time are Python's strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _groups(texts: list[str | None], size: int = 1 << 18) -> Iterator[tuple[int, int, list[str]]]:
     """Neighbouring texts, lower-cased, of about ``size`` characters together; a longer text is alone."""
     at, some, total = 0, [], 0
@@ -76,7 +83,7 @@ def train(labelled: DataFrame, text_column: str, label_column: str, most_rows: i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             labels, texts = batch.column("label").to_pylist(), batch.column("text").to_pylist()
             for label in set(labels):
                 own = [t for t, x in zip(texts, labels) if x == label]
@@ -139,7 +146,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, id_col
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, matrix = shared.value
         names = np.array([*languages, UNKNOWN], object)
-        for batch in batches:
+        for batch in _slices(batches):
             letters = batch.column("letter").to_numpy(zero_copy_only=False).astype(bool)
             best, sure = score(batch.column("text").to_pylist(), languages, matrix)
             best[~letters], sure[~letters] = len(languages), 0.0
@@ -155,10 +162,12 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_column: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, whose text has a letter and a language of at least ``least`` probability.
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_column: str = "text", least: float = 0.5,
+                    enough: int = 20) -> DataFrame:
+    """The rows, with all their columns, whose text has a letter and, among the learnt languages, one of at least ``least`` probability.
 
-    Without a model every row with a letter stays.
+    Texts of fewer than ``enough`` characters say too little to go for their probability. Text in a language that was not learnt
+    usually stays: the probability is shared among the learnt ones alone. Without a model every row with a letter stays.
     """
     if model is None:
         return docs.filter(has_letter(F.col(text_column)))
@@ -169,8 +178,9 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray] | None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, matrix = shared.value
-        for batch in batches:
-            _, sure = score(batch.column(text).cast(pa.string()).to_pylist(), languages, matrix)
-            yield batch.filter(pa.array(sure >= least))
+        for batch in _slices(batches):
+            texts = batch.column(text).cast(pa.string()).to_pylist()
+            _, sure = score(texts, languages, matrix)
+            yield batch.filter(pa.array((sure >= least) | (np.fromiter(map(len, texts), np.int64, len(texts)) < enough)))
 
     return marked.filter(has_letter(F.col(text))).mapInArrow(run, marked.schema).toDF(*names)

@@ -304,12 +304,14 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, id_colum
                     doc, begin, end, window, place = pieces(a, a + n[own], q)
                     found.append((own[doc], begin - a[doc], end - begin, window, place))
                 rows, starts, lengths, windows, offsets = map(np.concatenate, zip(*found))
-                cuts = [ids[r].as_py()[4 * s:4 * (s + m)] for r, s, m in zip(rows.tolist(), starts.tolist(), lengths.tolist())]
+                _, at, data = ids.buffers()
+                begins = np.frombuffer(at, np.int32)[ids.offset:].astype(np.int64)[rows] + 4 * starts
+                cuts = [memoryview(data)[a:b] for a, b in zip(begins.tolist(), (begins + 4 * lengths).tolist())]
                 arrays = [some.column("doc_id").take(pa.array(rows)), pa.array(starts), pa.array(lengths),
                           pa.array([zlib.crc32(c) for c in cuts], pa.int64()), pa.array(n[rows]), pa.array(windows), pa.array(offsets)]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
                 if with_ids:
-                    arrays, names = [*arrays, pa.array(cuts, pa.binary())], [*names, "ids"]
+                    arrays, names = [*arrays, pa.array([bytes(c) for c in cuts], pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     # The places are a written table: Spark broadcasts it if it is small and shuffles by (source, part) if not.

@@ -30,7 +30,7 @@ def without(docs: DataFrame, dropped: DataFrame, filter_blocks: int = 1 << 16) -
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in none of the languages their labels teach, go."""
+    """Documents without a letter go, and those of 20 characters or more for which no language that the labels teach has half the probability."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
     return langid.keep_identified(docs, model)
 

@@ -50,6 +50,13 @@ def test_language_of_odd_rows(docs_of, odd_rows):
     assert langid.keep_identified(docs, None).count() == kept.count()
 
 
+def test_short_texts_are_not_rejected_for_their_probability(docs_of):
+    docs = docs_of([(1, "ab"), (2, "x" * 19), (3, "x" * 20), (4, "12"), (5, None)])
+    even = (["a", "b", "c"], np.zeros((65, 3)))  # a third each for every text
+    assert sorted(r.doc_id for r in langid.keep_identified(docs, even).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in langid.keep_identified(docs, even, least=0.3).collect()) == [1, 2, 3]
+
+
 def test_without(docs_of):
     docs = docs_of([(1, "a"), (2, "b"), (None, "c"), (2, "d")])
     assert sorted(r.text for r in stages.without(docs, docs.filter("text = 'b'")).collect()) == ["a", "c"]
