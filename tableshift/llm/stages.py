@@ -12,6 +12,7 @@ from tableshift.llm.exact_dedup import exact_duplicates
 from tableshift.llm.neardup import near_duplicates
 from tableshift.llm.packing import pack
 from tableshift.llm.substrings import strip_repeats
+from tableshift.llm.tidy import batches_of_texts
 from tableshift.session import cut_lineage
 
 
@@ -31,6 +32,7 @@ def without(docs: DataFrame, dropped: DataFrame, filter_blocks: int = 1 << 16) -
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go, and those of 20 characters or more for which no language that the labels teach has half the probability."""
+    batches_of_texts(spark)
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))), "text", "lang")
     return langid.keep_identified(docs, model)
 
@@ -42,16 +44,19 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked at a similarity of 0.8 the one with the smallest id stays."""
+    batches_of_texts(spark)
     return without(docs, near_duplicates(docs, percent=80).filter("not kept"))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages of 50 words or more that a document with a smaller id has go."""
+    batches_of_texts(spark)
     return strip_repeats(docs, window=50)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens, mixed like the whole."""
+    batches_of_texts(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
