@@ -124,7 +124,7 @@ def repeats_brute(rows, window):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot,shard_bytes", [(20_000, 8 << 20), (3, 4000)])
+@pytest.mark.parametrize("hot,shard_bytes", [(100_000, 8 << 20), (3, 4000), (150, 4000)])
 def test_repeats_against_brute_force(docs_of, odd_rows, hot, shard_bytes):
     rng = random.Random(hot)
     passages = [words(rng, n) for n in (12, 13, 14, 60, 200)]
@@ -135,6 +135,7 @@ def test_repeats_against_brute_force(docs_of, odd_rows, hot, shard_bytes):
             parts += [rng.choice(passages), words(rng, rng.randrange(12))]
         rows.append((100 + i, "\n ".join(parts)))
     rows += [(30, rows[-1][1]), (31, rows[-2][1].upper()), (100, rows[11][1])]
+    rows += [(32, "x y z " * 300), (33, "begin " + "y z x " * 200 + "end"), (34, "0 " * 500), (35, "0 " * 400)]  # one segment each
     docs = docs_of(rows)
     got = remove_repeats(docs, hot=hot, shard_bytes=shard_bytes, with_text=True).collect()
     want = repeats_brute(rows, 13)
