@@ -47,13 +47,24 @@ def _by_range(keys: DataFrame, splitters: list[tuple]) -> DataFrame:
             .drop("slice", "base", "bounds"))
 
 
+def _around_groups(keys: DataFrame, splitters: set[tuple], most_bytes: int, most_rows: int) -> set[tuple]:
+    """The splitters; those inside a group of equal texts of at most so many bytes and rows are moved before the group."""
+    hashes = keys.sparkSession.createDataFrame(sorted({(s[0],) for s in splitters}), "text_hash bigint")  # at most one row per splitter
+    large = (keys.join(F.broadcast(hashes), "text_hash").groupBy("text_hash").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+             .filter((F.col("bytes") > most_bytes) | (F.col("rows") > most_rows)).select("text_hash").collect())
+    cut = {r[0] for r in large}
+    return {s if s[0] in cut else (s[0], False, 0) for s in splitters}
+
+
 def shard_by_size(docs: DataFrame, shards: int = 16, id_column: str = "doc_id", text_column: str = "text",
                   ranges: int = 1024, oversample: int = 16, slack: float = 0.001,
                   least_rows: int = 8192) -> DataFrame:
     """One row per record: (doc_id, size, text_crc32, shard, slot), shards of nearly equal bytes.
 
-    ``size`` is the text's UTF-8 bytes plus 1, so records without text count too. Equal texts stay in one shard unless their
-    bytes exceed ``slack`` of a shard; larger groups are cut where a shard is full. ``slot`` numbers a shard's records from 0.
+    ``size`` is the text's UTF-8 bytes plus 1, so records without text count too. Equal texts stay in one shard unless they are more
+    than ``slack`` of a shard's bytes, or more than a range's rows; four of the largest record are allowed beyond that, up to
+    five times ``slack``. Larger groups are cut where a shard is full. So a shard is off by at most that allowance or one
+    record. ``slot`` numbers a shard's records from 0.
 
     A null text is empty (checksum 0), a null id sorts first, repeated rows are placed one by one, other columns are
     ignored whatever their names. With fewer records than shards some shards are empty; an empty table gives an empty result.
@@ -62,13 +73,14 @@ def shard_by_size(docs: DataFrame, shards: int = 16, id_column: str = "doc_id",
     keys = cut_lineage(docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), (F.octet_length(raw) + 1).cast("bigint").alias("size"),
         F.crc32(raw.cast("binary")).alias("text_crc32"), F.xxhash64(raw).alias("text_hash")))
-    total, count = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    total, count, largest = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.max("size")).first()
     schema = "doc_id bigint, size bigint, text_crc32 bigint, shard int, slot bigint"
     if not count:
         return keys.sparkSession.createDataFrame([], schema)
     sample = _draw(keys, F.col("size") * F.lit(oversample * ranges / total), 0)
-    splitters = sorted(set(sample[oversample::oversample]))
     full = max(least_rows, 2 * -(-count // ranges))  # a range of so many narrow rows is never overfull
+    together = int(max(slack * total / shards, min(4 * largest, 5 * slack * total / shards)))
+    splitters = sorted(_around_groups(keys, set(sample[oversample::oversample]), together, full))
     seed = 0
     while True:
         ranged = _by_range(keys, splitters)
@@ -81,8 +93,8 @@ def shard_by_size(docs: DataFrame, shards: int = 16, id_column: str = "doc_id",
         parts = keys.sparkSession.createDataFrame(
             [(k, oversample * (2 / full)) for k in over], "range int, chance double")
         inside = ranged.join(F.broadcast(parts), "range")
-        more = set(_draw(inside, F.col("chance"), seed)[oversample // 2::oversample]) - set(splitters)
-        if not more:  # only repeated rows are left together
+        more = _around_groups(keys, set(_draw(inside, F.col("chance"), seed)[oversample // 2::oversample]), together, full) - set(splitters)
+        if not more:  # only repeated rows and whole groups are left together
             break
         splitters = sorted({*splitters, *more})
     order = sorted(counts)
@@ -96,7 +108,7 @@ def shard_by_size(docs: DataFrame, shards: int = 16, id_column: str = "doc_id",
     placed = ranged.join(F.broadcast(offsets), "range").withColumns({
         "until": F.col("bytes_before") + F.sum("size").over(along), "place": F.col("rows_before") + F.row_number().over(along) - 1,
         "group_bytes": F.sum("size").over(equal), "group_until": F.sum("size").over(through)})
-    at = F.when(F.col("group_bytes") <= int(slack * total / shards), F.col("until") - F.col("group_until")).otherwise(
+    at = F.when(F.col("group_bytes") <= together, F.col("until") - F.col("group_until")).otherwise(
         F.col("until") - F.col("size"))
     share = F.call_function("div", at * shards, F.lit(total))
     placed = cut_lineage(placed.select("doc_id", "size", "text_crc32", "place", share.cast("int").alias("shard")))

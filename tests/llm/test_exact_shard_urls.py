@@ -67,6 +67,18 @@ def test_a_hot_group_and_many_empty_records_are_subdivided(docs_of):
     assert max(sizes.values()) < 1.03 * min(sizes.values())
 
 
+def test_pairs_of_long_copies_stay_together(docs_of):
+    rows = [(i, f"{i % 900} " * (30 + i % 900)) for i in range(1800)] + [(9000, "long " * 2000)]
+    got = shard_by_size(docs_of(rows), 16, ranges=64, least_rows=20, slack=0.01).collect()
+    sizes = check_shards(rows, got, 16)
+    allowance = 5 * 0.01 * sum(sizes.values()) / 16 + 10_001
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * allowance
+    homes = defaultdict(set)
+    for r in got:
+        homes[r.text_crc32].add(r.shard)
+    assert all(len(h) == 1 for h in homes.values())
+
+
 def test_shards_of_odd_and_no_rows(docs_of, odd_rows):
     rows = [r[:2] for r in odd_rows]
     check_shards(rows, shard_by_size(docs_of(odd_rows), 4).collect(), 4)
