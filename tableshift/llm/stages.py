@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableshift.llm import langid
@@ -16,18 +16,26 @@ from tableshift.llm.tidy import batches_of_texts
 from tableshift.session import cut_lineage
 
 
-def without(docs: DataFrame, dropped: DataFrame, filter_blocks: int = 1 << 16) -> DataFrame:
-    """The rows whose doc_id is not among ``dropped`` (doc_id), with all their columns; null ids stay.
+def row_mark() -> Column:
+    """A digest of a row's id and text. Null counts as the empty text, and as an id of its own."""
+    return F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.col("text"), F.lit(""))))
 
-    A blocked Bloom filter passes most texts by the join, so that they are not shuffled.
+
+def _marked(docs: DataFrame, key: Column, wanted: DataFrame, filter_blocks: int) -> tuple[DataFrame, DataFrame]:
+    """(rows certainly without their ``key`` in ``wanted`` (key, ...), the others with the columns of ``wanted``, null where it has none).
+
+    Columns are named c0, c1 and so on, so that none can clash. A blocked Bloom filter passes most texts by the join.
     """
-    names = docs.columns
-    marked = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever the names, they can't clash
-    key = f"c{names.index('doc_id')}"
-    ids = cut_lineage(dropped.select(F.col("doc_id").alias(key)).dropna().distinct())
-    tested = may_contain(marked, key, blocked_bloom(ids, key, filter_blocks), filter_blocks)
-    stay = tested.filter("not bloom_hit").drop("bloom_hit")
-    return stay.unionByName(tested.filter("bloom_hit").drop("bloom_hit").join(ids, key, "left_anti")).toDF(*names)
+    columns = docs.select("*", key.alias("key")).toDF(*[f"c{i}" for i in range(len(docs.columns))], "key")
+    tested = may_contain(columns, "key", blocked_bloom(wanted, "key", filter_blocks), filter_blocks)
+    return tested.filter("not bloom_hit").drop("bloom_hit", "key"), tested.filter("bloom_hit").drop("bloom_hit").join(wanted, "key", "left")
+
+
+def without(docs: DataFrame, key: Column, dropped: DataFrame, filter_blocks: int = 1 << 16) -> DataFrame:
+    """The rows whose ``key`` is not among ``dropped`` (key), with all their columns; rows with a null key stay."""
+    gone = cut_lineage(dropped.dropna().distinct().withColumn("gone", F.lit(True)))
+    stay, others = _marked(docs, key, gone, filter_blocks)
+    return stay.unionByName(others.filter("gone is null").drop("gone", "key")).toDF(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,15 +45,44 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, model)
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for the case of A-Z the one with the largest id stays."""
-    return without(docs, exact_duplicates(docs).filter("not kept"))
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str, filter_blocks: int = 1 << 16) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z one row stays, with the largest id.
 
-
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at a similarity of 0.8 the one with the smallest id stays."""
+    Rows are told apart by id and text, so an id's other texts are judged for themselves. Of rows that repeat both, the one whose
+    other columns come first as JSON stays; where one id has the text in several cases, one of them.
+    """
+    rows = docs.select(F.struct("doc_id", row_mark().alias("key")).alias("doc_id"), "text")
+    decided = exact_duplicates(rows).filter("group_size > 1").select("doc_id.key", "kept")
+    touched = cut_lineage(decided.groupBy("key").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1")
+                          .drop("n"))
+    stay, others = _marked(docs, row_mark(), touched, filter_blocks)
+    result = stay.unionByName(others.filter("stays is null").drop("stays", "key"))
+    if not touched.filter("stays").isEmpty():
+        # The texts of a repeated row are equal or empty; combined inside tasks first, however often it is repeated.
+        row = F.struct(*stay.columns)
+        one = others.filter("stays").groupBy("key").agg(F.min_by(row, F.to_json(row)).alias("one"))
+        result = result.unionByName(one.select("one.*"))
+    return result.toDF(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str, filter_blocks: int = 1 << 16) -> DataFrame:
+    """Of each group of documents linked at a similarity of 0.8 the one with the smallest id stays.
+
+    Rows whose id is null or occurs more than once are told apart by id and text, and come after all others, in the order of a hash.
+    """
     batches_of_texts(spark)
-    return without(docs, near_duplicates(docs, percent=80).filter("not kept"))
+    odd = cut_lineage(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
+                      .select(F.col("doc_id").alias("key"), F.lit(True).alias("odd")))
+    if odd.isEmpty():
+        return without(docs, F.col("doc_id"), near_duplicates(docs, percent=80).filter("not kept").select(F.col("doc_id").alias("key")))
+    names = docs.columns
+    row_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    stay, others = _marked(docs, F.col("doc_id"), odd, filter_blocks)
+    every = stay.withColumn("odd", F.col(row_id).isNull()).unionByName(others.withColumn("odd", F.coalesce("odd", F.lit(False))).drop("key"))
+    late = F.xxhash64(row_id, text).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    every = cut_lineage(every.withColumn("own", F.when(F.col("odd"), late).otherwise(F.col(row_id).cast("bigint"))).drop("odd"))
+    dropped = near_duplicates(every, percent=80, id_column="own", text_column=text).filter("not kept").select(F.col("doc_id").alias("key"))
+    return without(every, F.col("own"), dropped).drop("own").toDF(*names)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -59,17 +60,46 @@ def test_short_texts_are_not_rejected_for_their_probability(docs_of):
 
 def test_without(docs_of):
     docs = docs_of([(1, "a"), (2, "b"), (None, "c"), (2, "d")])
-    assert sorted(r.text for r in stages.without(docs, docs.filter("text = 'b'")).collect()) == ["a", "c"]
-    assert stages.without(docs, docs.limit(0)).columns == docs.columns
+    key = F.col("doc_id")
+    assert sorted(r.text for r in stages.without(docs, key, docs.filter("text = 'b'").select(key.alias("key"))).collect()) == ["a", "c"]
+    assert stages.without(docs, key, docs.limit(0).select(key.alias("key"))).columns == docs.columns
+    mark = stages.row_mark()
+    assert sorted(r.text for r in stages.without(docs, mark, docs.filter("text = 'b'").select(mark.alias("key"))).collect()) == ["a", "c", "d"]
+
+
+def test_exact_stage_judges_rows_not_ids(spark, docs_of):
+    rows = [(1, "Same"), (2, "same"), (2, "other"), (3, "SAME"), (3, "own"), (3, "same"), (None, "same"), (None, "twice"), (None, "twice"),
+            (5, "Again", "en", "b"), (5, "Again", "en", "a"), (5, "Again", "en", "a"), (6, None), (6, ""), (7, "ab"), (8, "ab")]
+    docs = docs_of(rows)
+    got = stages.exact(spark, docs, "")
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert len(found) == 7
+    by_text = {(r.text or "").lower(): r for r in found}
+    assert {t: r.doc_id for t, r in by_text.items()} == {"same": 3, "other": 2, "own": 3, "twice": None, "again": 5, "": 6, "ab": 8}
+    assert by_text["again"].source == "a"
+    assert stages.exact(spark, docs.limit(0), "").collect() == []
+
+
+def test_near_stage_judges_rows_not_ids(spark, docs_of):
+    rng = random.Random(11)
+    x, y, z = (words(rng, 120, 3000) for _ in range(3))
+    rows = [(1, x), (2, x + " end"), (2, y), (None, y + " end"), (None, z), (4, z + " end"), (5, words(rng, 120, 3000)), (6, None), (6, "")]
+    docs = docs_of(rows)
+    got = stages.near(spark, docs, "")
+    assert got.columns == docs.columns
+    found = {(r.doc_id, r.text) for r in got.collect()}
+    assert {(1, x), (4, z + " end"), rows[6], (6, None), (6, "")} <= found and len(found) == 6
+    assert len(found & {(2, y), (None, y + " end")}) == 1
 
 
 def test_stages_against_brute_force(spark, docs_of, odd_rows):
     rng = random.Random(9)
     passage = words(rng, 70, 3000)
-    rows = [r for r in odd_rows if r[0] is not None] + [(100 + i, words(rng, 90, 3000)) for i in range(20)]
+    rows = [*odd_rows] + [(100 + i, words(rng, 90, 3000)) for i in range(20)]
     rows += [(200, rows[-1][1]), (201, rows[-2][1].upper()), (202, rows[-3][1] + " one two"), (203, words(rng, 50, 3000) + "\n" + passage),
              (204, passage + " " + words(rng, 50, 3000)), (205, "?? 12 !")]
-    docs = docs_of(list(dict.fromkeys(rows)), clash=False)
+    docs = docs_of(rows, clash=False)
     seen = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "").persist()
@@ -79,8 +109,8 @@ def test_stages_against_brute_force(spark, docs_of, odd_rows):
     groups = {}
     for i, t in seen["language_id"]:
         key = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-        groups[key] = max(groups.get(key, i), i)
-    assert {i for i, _ in seen["exact_dedup"]} == set(groups.values())
+        groups[key] = max(groups.get(key, i), i, key=lambda v: (v is not None, v or 0))
+    assert sorted(i for i, _ in seen["exact_dedup"]) == sorted(groups.values())
     near = {r[0] for r in near_brute(seen["exact_dedup"], 80) if r[3]}
     assert {i for i, _ in seen["minhash_near_dedup"]} == near and len(near) < len(groups)
     want = {w[0]: w for w in repeats_brute(seen["minhash_near_dedup"], 50)}
