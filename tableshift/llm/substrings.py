@@ -5,9 +5,9 @@ runs, and equal windows have equal anchors. Neighbouring windows with one anchor
 its anchor: an index there meets all windows that could be equal, and no others have to be compared.
 
 1. Anchors that occur in one document only are dropped; this moves anchors, not texts.
-2. The segments of the others are cut from the texts. An anchor of more than ``hot`` windows sends them one by one, by
-   their own hash, so that no shard gets all of a common anchor's surroundings. A text that repeats itself every few words is one
-   segment of any length; counting windows bounds it too.
+2. The segments of the others are cut from the texts. An anchor with more than ``hot`` places, or with more windows than a shard has
+   room for (a text that repeats itself every few words is one segment of any length), sends its windows one by one, by
+   their own hash, so that no shard gets all of a common anchor's surroundings.
 3. Equal segments become one with the least document id, so copies of a passage don't fill a shard.
 4. Each shard indexes its segments and streams them through the index: a window's interval gives the least document that has it.
 5. Windows that a smaller document has become intervals of words to remove, per document.
@@ -169,8 +169,10 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int, hot: int, shard_by
 
 def _repeated_spans(docs: DataFrame, window: int, anchor: int, hot: int, shard_bytes: int) -> DataFrame:
     anchors = _anchors(docs, window, anchor)
-    shared = cut_lineage(anchors.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.sum("windows").alias("n"))
-                         .filter("x < y").select("key", (F.col("n") > hot).alias("hot")))
+    room = shard_bytes // 8  # a window adds a word to its segment, about eight bytes
+    shared = cut_lineage(anchors.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count(F.lit(1)).alias("n"),
+                                                    F.sum("windows").alias("windows"))
+                         .filter("x < y").select("key", ((F.col("n") > hot) | (F.col("windows") > room)).alias("hot")))
     wanted = cut_lineage(anchors.join(shared, "key"))
     grouped = wanted.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("key", "first", "windows", "hot")).alias("wanted"))
     segments = cut_lineage(_cut(docs.join(grouped, ["doc_id", "text_hash"]), window))
@@ -184,7 +186,7 @@ def _repeated_spans(docs: DataFrame, window: int, anchor: int, hot: int, shard_b
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, anchor: int = 4, id_column: str = "doc_id", text_column: str = "text",
-                   hot: int = 100_000, shard_bytes: int = 8 << 20, with_text: bool = False) -> DataFrame:
+                   hot: int = 20_000, shard_bytes: int = 8 << 20, with_text: bool = False) -> DataFrame:
     """One row per input row: (doc_id, n_words, n_removed, kept_sha256), and the kept text if asked for.
 
     Every word covered by a window of ``window`` consecutive words that also starts in a document with a smaller id is removed;
@@ -236,7 +238,7 @@ def _kept(text: str | None, spans: list[bytes] | None) -> tuple[int, list[bytes]
 
 
 def strip_repeats(docs: DataFrame, window: int = 50, anchor: int = 4, id_column: str = "doc_id", text_column: str = "text",
-                  length_column: str | None = "n_chars", hot: int = 100_000, shard_bytes: int = 8 << 20) -> DataFrame:
+                  length_column: str | None = "n_chars", hot: int = 20_000, shard_bytes: int = 8 << 20) -> DataFrame:
     """The rows with all their columns, without the words that ``remove_repeats`` removes; ``length_column``, if there, follows.
 
     Texts that lose nothing stay as they are, null included; a text that loses all its words becomes empty.
