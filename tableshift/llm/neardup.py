@@ -11,7 +11,7 @@ from the start. A bucket of any size is compared by pairs of blocks. Pairs of a
 1. Each member of a bucket sends its nearest partner. Confirmed, these links join nearly all copies to their components.
 2. Where close signatures still lie in different components, their documents form clusters of signatures. A cluster of any
    size is cut into blocks of bounded size, and each pair of blocks counts the shared shingles of all its pairs at once, on
-   full sets. So every pair within the distance is decided, and only the links that join components are sent.
+   full sets. So every pair within the distance is decided, and only links between components are sent.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tableshift.llm.bloom import blocked_bloom, may_contain
 from tableshift.llm.components import components
 from tableshift.llm.words import chunks, mix, runs
-from tableshift.session import cut_lineage
+from tableshift.session import counted_step, cut_lineage, sized
 
 WIDTH = 4  # symbols in a chunk
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 19  # documents and shingles of a cluster's block, about
@@ -116,21 +116,26 @@ def _keyed(classes: DataFrame, symbols: int) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "id bigint, keys array<bigint>").select("id", F.posexplode("keys").alias("q", "key"))
 
 
+def _differing(chunk: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which symbols of chunks differ, chunks given as 64-bit words: the top bit of each symbol that does."""
+    low = np.uint64(0x7FFF_7FFF_7FFF_7FFF)
+    either = chunk ^ other
+    return (((either & low) + low) | either) & ~low
+
+
 def _first_key(differ: np.ndarray) -> np.ndarray:
-    """The first key that two signatures share, from where they differ; -1 if none."""
-    n, symbols = differ.shape
-    by_chunk = differ.reshape(n, symbols // WIDTH, WIDTH)
-    counts = by_chunk.sum(axis=2)
+    """The first key that two signatures share, from where their chunks differ; -1 if none."""
+    counts = np.bitwise_count(differ)
     near = counts <= 1
     chunk = near.argmax(axis=1)
-    at = np.arange(n)
-    place = np.where(counts[at, chunk] == 0, 0, by_chunk[at, chunk].argmax(axis=1))
+    word = differ[np.arange(len(differ)), chunk]
+    place = np.where(word == 0, 0, np.bitwise_count(word - np.uint64(1)) >> 4)
     return np.where(near.any(axis=1), WIDTH * chunk + place, -1)
 
 
 def _close_pairs(rows: dict[str, np.ndarray], distance: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, symbols apart) of the close pairs in different components that meet first under the rows' own keys; ``a`` has the larger id."""
-    group = rows["group"]
+    group, signed = rows["group"], rows["signature"].view(np.uint64)
     left, found = np.arange(max(len(group) - 1, 0)), []
     for shift in range(1, len(group)):
         left = left[left + shift < len(group)]
@@ -144,8 +149,8 @@ def _close_pairs(rows: dict[str, np.ndarray], distance: int, percent: int) -> tu
             good = (100 * small >= percent * large) & (rows["component"][a] != rows["component"][b])
             good &= (rows["i"][a] == rows["j"][a]) | (rows["block"][a] != rows["block"][b])
             a, b = a[good], b[good]
-            differ = rows["signature"][a] != rows["signature"][b]
-            apart = differ.sum(axis=1)
+            differ = _differing(signed[a], signed[b])
+            apart = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
             close = apart <= distance
             a, b, apart = a[close], b[close], apart[close]
             mine = _first_key(differ[close]) == rows["q"][a]
@@ -161,13 +166,19 @@ def _close_pairs(rows: dict[str, np.ndarray], distance: int, percent: int) -> tu
 def _nearest(rows: dict[str, np.ndarray], distance: int, percent: int) -> pa.RecordBatch:
     """(key, i, j, a, b): each member's nearest partner; with null ``b``, the members of buckets that have more pairs."""
     a, b, apart = _close_pairs(rows, distance, percent)
-    order = np.lexsort((rows["id"][b], apart, a))
-    a, b = a[order], b[order]
-    sent = np.concatenate(([True], a[1:] != a[:-1]))[:len(a)]
-    members = np.unique(np.concatenate((a, b)))
-    members = members[np.isin(rows["group"][members], rows["group"][a[~sent]])]
-    at = np.concatenate((a[sent], members))
-    partner = pa.array(np.concatenate((rows["id"][b[sent]], np.zeros(len(members), np.int64))), mask=np.arange(len(at)) >= sent.sum())
+    count = len(rows["id"])
+    ids, rank = np.unique(rows["id"], return_inverse=True)
+    best = np.full(count, np.iinfo(np.int64).max)
+    np.minimum.at(best, a, apart * count + rank[b])
+    pairs = np.bincount(a, minlength=count)
+    sent = np.flatnonzero(pairs)
+    more = np.zeros(int(rows["group"].max(initial=-1)) + 1, bool)
+    more[rows["group"][pairs > 1]] = True
+    member = pairs > 0
+    member[b] = True
+    members = np.flatnonzero(member & more[rows["group"]])
+    at = np.concatenate((sent, members))
+    partner = pa.array(np.concatenate((ids[best[sent] % count], np.zeros(len(members), np.int64))), mask=np.arange(len(at)) >= len(sent))
     return pa.RecordBatch.from_arrays([pa.array(rows[c][at]) for c in ("key", "i", "j", "id")] + [partner], ["key", "i", "j", "a", "b"])
 
 
@@ -239,9 +250,9 @@ def _shared_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int
 
 
 def _decide_blocks(key: tuple, table: pa.Table, percent: int) -> pa.Table:
-    """One pair of a cluster's blocks: (a, b), links that join what is linked here, at most one per document."""
+    """One pair of a cluster's blocks: (a, b), links between the components that are linked here, at most one per component and least reached."""
     i, j = key[1].as_py(), key[2].as_py()
-    ids, block, component = (table.column(c).to_numpy() for c in ("id", "block", "component"))
+    block, component = (table.column(c).to_numpy() for c in ("block", "component"))
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
     x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
     n = np.array([len(s) for s in sets])
@@ -249,9 +260,10 @@ def _decide_blocks(key: tuple, table: pa.Table, percent: int) -> pa.Table:
     near = 100 * shared >= percent * (n[x][:, None] + n[y][None, :] - shared)
     near &= component[x][:, None] != component[y][None, :]
     a, b = np.nonzero(near)
-    least = spread(x[a], y[b], ids)
-    at = np.flatnonzero(least != ids)
-    return pa.table({"a": pa.array(ids[at]), "b": pa.array(least[at])})
+    least = spread(x[a], y[b], component)
+    at = np.flatnonzero(least != component)
+    joined = np.unique(np.column_stack((component[at], least[at])), axis=0)
+    return pa.table({"a": pa.array(joined[:, 0]), "b": pa.array(joined[:, 1])})
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int, filter_blocks: int = 1 << 16) -> DataFrame:
@@ -269,9 +281,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, filter_blocks: int = 1
     return cut_lineage(texts.mapInArrow(run, "id bigint, shingles binary"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    wanted = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+def _confirmed(pairs: DataFrame, count: int, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b), ``count`` of them, whose full sets are similar enough."""
+    wanted = cut_lineage(sized(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), 2 * count))
     sets = _sets(docs, wanted, width)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b"))
@@ -304,53 +316,55 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_colum
     m = chunks_needed(percent / 100, miss)
     symbols, distance = WIDTH * m, 2 * m - 1
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    profile = cut_lineage(_profile(docs, width, symbols, seed))
+    profile, total = counted_step(_profile(docs, width, symbols, seed))
     linkable = profile.filter("n > 0 and doc_id is not null")
-    classes = cut_lineage(linkable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")))
+    classes, distinct = counted_step(sized(linkable.groupBy("set_key").agg(
+        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature")), symbols * total))
     # An id that comes with several texts may be the least of several classes: it is one node with all their sets.
-    nodes = cut_lineage(classes.groupBy("id").agg(F.sum("n").alias("n")))
+    nodes = cut_lineage(sized(classes.groupBy("id").agg(F.sum("n").alias("n")), distinct))
     narrow = _keyed(classes, symbols)
-    sizes = cut_lineage(narrow.groupBy("key").count().filter("count > 1")
-                        .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    met = cut_lineage(narrow.join(sizes, "key"))
+    sizes = cut_lineage(sized(narrow.groupBy("key").count().filter("count > 1")
+                              .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")), symbols * distinct))
+    met = cut_lineage(sized(narrow.join(sizes, "key"), symbols * distinct))
 
     def buckets(component: DataFrame) -> DataFrame:
-        return (met.join(classes.select("id", "n", "signature"), "id").join(component, "id")
+        return (met.join(classes.select("id", "n", "signature").join(component, "id"), "id")
                 .withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
                 .select("key", "i", "j", "q", "block", "id", "n", "component", "signature"))
 
-    def decided(rows: DataFrame, decide, schema: str) -> DataFrame:
-        return cut_lineage(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
+    def decided(rows: DataFrame, decide, schema: str) -> tuple[DataFrame, int]:
+        return counted_step(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
             _by_bucket(symbols, lambda group: decide(group, distance, percent)), schema))
 
-    def joined(links: DataFrame) -> DataFrame:
-        return cut_lineage(nodes.select("id").join(components(links).withColumnRenamed("node", "id"), "id", "left")
-                           .select("id", F.coalesce("component", "id").alias("component")))
+    def joined(before: DataFrame, links: DataFrame) -> DataFrame:
+        """(id, component) after links between components."""
+        after = components(links).select(F.col("node").alias("component"), F.col("component").alias("least"))
+        return cut_lineage(sized(before.join(after, "component", "left").select("id", F.coalesce("least", "component").alias("component")), distinct))
 
     own = nodes.select("id", F.col("id").alias("component"))
-    found = decided(buckets(own), _nearest, "key bigint, i int, j int, a bigint, b bigint")
-    links = _confirmed(cut_lineage(found.filter("b is not null").select("a", "b").distinct()), docs, width, percent)
-    merged = joined(links)
+    found, sent = decided(buckets(own), _nearest, "key bigint, i int, j int, a bigint, b bigint")
+    nearest, count = counted_step(sized(found.filter("b is not null").select("a", "b").distinct(), sent))
+    merged = joined(own, _confirmed(nearest, count, docs, width, percent))
     waiting = found.filter("b is null").select("key", "i", "j", F.col("a").alias("id"))
-    unresolved = cut_lineage(waiting.join(merged, "id").groupBy("key", "i", "j").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key", "i", "j"))
-    if not unresolved.isEmpty():
-        stars = decided(buckets(merged).join(unresolved, ["key", "i", "j"], "left_semi"), _stars, "a bigint, b bigint")
-        clusters = cut_lineage(components(stars).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
-                               .join(merged, "id").join(nodes, "id"))
-        parts = cut_lineage(clusters.groupBy("cluster").agg(F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    unresolved, open_buckets = counted_step(sized(waiting.join(merged, "id").groupBy("key", "i", "j").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key", "i", "j"), sent))
+    if open_buckets:
+        stars, _ = decided(buckets(merged).join(unresolved, ["key", "i", "j"], "left_semi"), _stars, "a bigint, b bigint")
+        clusters = cut_lineage(sized(components(stars).withColumnRenamed("component", "cluster").withColumnRenamed("node", "id")
+                                     .join(merged, "id").join(nodes, "id"), distinct))
+        parts = cut_lineage(sized(clusters.groupBy("cluster").agg(F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), distinct))
         pairs = (clusters.join(_sets(docs, clusters.select("id"), width), "id").join(parts, "cluster")
                  .withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "shingles"))
-        more = cut_lineage(pairs.groupBy("cluster", "i", "j").applyInArrow(
+                 .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "shingles"))
+        more, linked = counted_step(pairs.groupBy("cluster", "i", "j").applyInArrow(
             lambda key, table: _decide_blocks(key, table, percent), "a bigint, b bigint"))
-        if not more.isEmpty():
-            merged = joined(links.unionByName(more))
-    known = cut_lineage(classes.select("set_key", "id").join(merged, "id").select("set_key", "component"))
+        if linked:
+            merged = joined(merged, more)
+    known = cut_lineage(sized(classes.select("set_key", "id").join(merged, "id").select("set_key", "component"), 2 * distinct))
     in_class = linkable.join(known, "set_key", "left").select("doc_id", "n", "component")
     alone = profile.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component"))
     return in_class.unionByName(alone).select(

@@ -73,6 +73,19 @@ def clear_run_folder(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a few numbers that one task may take, and the number of tasks that is never worth going below.
+NARROW_ROWS, FEWEST_TASKS = 1 << 18, 16
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """A frame of narrow rows in no more tasks than ``rows``, the most rows it can be made of, need.
+
+    A short table is then not written as a nearly empty file per shuffle partition, also where adaptive execution may not merge them.
+    A long one keeps all its tasks.
+    """
+    return df.coalesce(max(FEWEST_TASKS, -(-rows // NARROW_ROWS)))
+
+
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: a lost executor loses nothing, and the plan starts afresh.
 

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from tableshift.llm.components import components
 from tableshift.llm.embeddings import near_vectors, plan_tables
@@ -39,6 +40,38 @@ def test_components(spark):
     assert components(df.limit(0), "x", "y").collect() == []
 
 
+def test_components_write_few_steps_and_few_files(spark, monkeypatch):
+    """Stars are seen as such at once, and a short table is not written as a file per shuffle partition."""
+    links = spark.range(2000).selectExpr("id + 100 as x", "id % 100 as y")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (written.append(path), write(self, path, *a, **k))[1])
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.component for r in components(links, "x", "y").collect()}
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert got == reached(got, [(i + 100, i % 100) for i in range(2000)])
+    files = [len(spark.read.parquet(p).inputFiles()) for p in written[1:]]
+    assert max(files) <= 16
+    star = spark.range(300).selectExpr("id + 1 as x", "0L as y")
+    written.clear()
+    assert {r.component for r in components(star, "x", "y").collect()} == {0} and len(written) == 3
+
+
+def test_chunks_that_differ_in_one_symbol():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 3, (500, 12)).astype(np.uint16)
+    b = rng.integers(0, 3, (500, 12)).astype(np.uint16) << np.uint16(15)
+    differ = neardup._differing(a.view(np.uint64), b.view(np.uint64))
+    assert (np.bitwise_count(differ) == (a != b).reshape(500, 3, 4).sum(axis=2)).all()
+    keys_a, keys_b = keys_of(a), keys_of(b)
+    same = keys_a == keys_b
+    assert neardup._first_key(differ).tolist() == [int(s.argmax()) if s.any() else -1 for s in same]
+
+
 def shingles(text):
     own = (text or "").translate(TABLE).encode().split()
     return {tuple(own[i:i + 5]) for i in range(len(own) - 4)} if len(own) >= 5 else {tuple(own)} if own else set()
