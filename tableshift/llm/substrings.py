@@ -137,27 +137,45 @@ def _search(table: pa.Table, window: int) -> pa.Table:
         for i in np.flatnonzero(at_end):
             lows[i] = documents[spans[i]:].min()
         result[shared] = lows[back]
-    raw, sizes = result.astype(np.int64).tobytes(), np.cumsum(counts) * 8
-    mins = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.concatenate(([0], sizes)).astype(np.int32)), pa.py_buffer(raw)])
-    return pa.table({"route": table.column("route"), "mark": table.column("mark"), "least_of": mins})
+    return pa.table({"route": table.column("route"), "mark": table.column("mark"), "least_of": _binary(result.astype(np.int64), counts)})
+
+
+def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of the next ``counts`` values (rows of them) as one binary value each."""
+    offsets = np.concatenate(([0], np.cumsum(counts))) * (values.nbytes // max(1, len(values)))
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _flat(binary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the 64-bit numbers of all values of an array without nulls, where each value's begin and the end)."""
+    wide = np.int64 if pa.types.is_large_binary(binary.type) else np.int32
+    _, offsets, data = binary.buffers()
+    at = np.frombuffer(offsets, wide)[binary.offset:binary.offset + len(binary) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(np.int64), (at - at[0]) // 8
 
 
 def _spans(met: DataFrame, window: int) -> DataFrame:
     """(doc_id, text_hash, spans): words covered by windows that a smaller document has, as pairs of 32-bit places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, out = [], []
+            if not batch.num_rows:
+                continue
             ids, firsts = batch.column("doc_id").to_numpy(), batch.column("first").to_numpy()
-            for r, least in enumerate(batch.column("least_of")):
-                hit = np.flatnonzero(np.frombuffer(least.as_buffer(), np.int64) < ids[r])
-                if len(hit):
-                    parts = np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)
-                    keep.append(r)
-                    out.append(np.array([(p[0] + firsts[r], p[-1] + firsts[r] + window) for p in parts], np.int32).tobytes())
-            if keep:
-                some = batch.take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("text_hash"), pa.array(out, pa.binary())],
-                                                 ["doc_id", "text_hash", "spans"])
+            least, opens = _flat(batch.column("least_of"))
+            counts = np.diff(opens)
+            row = np.repeat(np.arange(len(ids)), counts)
+            hit = np.flatnonzero(least < ids[row])
+            if not len(hit):
+                continue
+            # Hits that follow each other in one row are one span.
+            new = np.flatnonzero(np.concatenate(([True], (np.diff(hit) > 1) | (np.diff(row[hit]) > 0))))
+            last = hit[np.append(new[1:], len(hit)) - 1]
+            of = row[last]
+            spans = np.column_stack((hit[new], last + window)) + (firsts[of] - opens[of])[:, None]
+            keep, sizes = np.unique(of, return_counts=True)
+            some = batch.take(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("text_hash"), _binary(spans.astype(np.int32), sizes)],
+                                             ["doc_id", "text_hash", "spans"])
     return met.select("doc_id", "text_hash", "first", "least_of").mapInArrow(run, "doc_id bigint, text_hash int, spans binary")
 
 

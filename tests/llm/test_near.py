@@ -11,7 +11,7 @@ from tableshift.llm.exact_dedup import LOWER, UPPER
 from tableshift.llm.fm_index import FmIndex
 from tableshift.llm import neardup
 from tableshift.llm.neardup import chunks_needed, keys_of, near_duplicates, signatures
-from tableshift.llm.substrings import remove_repeats, strip_repeats
+from tableshift.llm.substrings import _spans, remove_repeats, strip_repeats
 from tests.llm.conftest import words
 
 TABLE = str.maketrans(UPPER, LOWER)
@@ -142,6 +142,36 @@ def test_fm_index_against_scanning():
         assert sorted(index.order[a:b].tolist()) == places and (m == 7 or len(places) == 1)
 
 
+def test_fm_index_starts_from_a_table_of_runs(monkeypatch):
+    rng = np.random.default_rng(14)
+    text = np.append(rng.integers(1, 50, 3000), 0).astype(np.int64)
+    index = FmIndex(text, 50, 13)
+    assert 2 <= index.run <= 4 and len(index.runs) - 1 == len({tuple(text[i:i + index.run]) for i in range(len(text))})
+    steps, extend = [], FmIndex.extend
+    monkeypatch.setattr(FmIndex, "extend", lambda self, low, high, symbol: (steps.append(len(low)), extend(self, low, high, symbol))[1])
+    ends = np.arange(13, 3000)
+    matched, low, high = index.intervals(text, ends, 13)
+    assert sum(steps) < len(ends) and all(m >= index.run for m in matched)
+    for e, m, a, b in zip(ends, matched, low, high):
+        assert e - m in index.order[a:b] and all((text[i:i + m] == text[e - m:e]).all() for i in index.order[a:b])
+    assert index.intervals(text, np.array([9]), 1)[0].tolist() == [1]
+
+
+def test_spans_of_many_rows_at_once(spark):
+    rng, rows, want = np.random.default_rng(15), [], []
+    for r in range(300):
+        least = rng.integers(0, 3, rng.integers(1, 40)) + r - 1
+        first = int(rng.integers(0, 50))
+        rows.append((r, r % 7, first, bytearray(least.astype(np.int64).tobytes())))
+        hit = np.flatnonzero(least < r)
+        parts = np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(hit) else []
+        if parts:
+            want.append((r, r % 7, [(int(p[0]) + first, int(p[-1]) + first + 13) for p in parts]))
+    met = spark.createDataFrame(rows, "doc_id bigint, text_hash int, first int, least_of binary").repartition(3)
+    got = [(r.doc_id, r.text_hash, [tuple(x) for x in np.frombuffer(r.spans, np.int32).reshape(-1, 2).tolist()]) for r in _spans(met, 13).collect()]
+    assert sorted(got) == want
+
+
 def repeats_brute(rows, window):
     first = {}
     for i, t, *_ in rows:
